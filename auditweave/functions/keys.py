@@ -16,6 +16,22 @@ def erp_date(col: str | Column) -> Column:
     return F.try_to_date(F.col(col) if isinstance(col, str) else col, "yyyyMMdd")
 
 
+def erp_date_between(col: str, low: Column, high: Column | None = None) -> Column:
+    """Whether 'yyyyMMdd' text is a date in [low, high].
+
+    The text is also compared as text, which orders the same way: that part reaches the
+    scan as a pushed filter and skips row groups, the parsed part then drops non-dates.
+    """
+    def text(bound: Column) -> Column:
+        return F.date_format(bound, "yyyyMMdd")
+
+    day, raw = erp_date(col), F.col(col)
+    inside = (raw >= text(low)) & (day >= low)
+    if high is not None:
+        inside = inside & (raw <= text(high)) & (day <= high)
+    return inside
+
+
 ADDRESS_PARTS = ["building_number", "street", "city", "postal_code", "state", "country"]
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from auditweave.sources.shelf import pin
+
 
 @dataclass(frozen=True)
 class MatchRule:
@@ -110,9 +112,13 @@ def similar_text_pairs(
             "_part",
             F.substr(F.col(other), F.col("_at") + 1, F.col("_width")).alias("_piece"),
         )
-        .distinct()
     )
     where = ["_size", "_part", "_piece"]
+    # pieces nobody looks for go before anything is counted; what is left is read twice
+    pieces = pin(
+        pieces.join(segments.select(*where).distinct(), where, "left_semi").distinct(),
+        "pieces",
+    )
     frequency = pieces.groupBy(*where).agg(F.count("*").alias("_hits"))
     rarest = W.partitionBy(text).orderBy("_hits", "_part")  # at most ``cut`` rows a text
     probes = (

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditweave.functions.anchors import months_before
-from auditweave.functions.keys import erp_date, invoice_origin, strip_zeros
+from auditweave.functions.keys import erp_date, erp_date_between, invoice_origin, strip_zeros
 from auditweave.operators.ranking import first_per_key, ranked_columns
 from auditweave.plans.scope import COMPANY, addressable_vendors, in_scope_spend
 
@@ -99,7 +99,7 @@ def base_payment(book) -> DataFrame:
         F.col("d_clrng_doc").alias("payment_clearing_doc"),
     ]
     by_vendor = (
-        ledger.filter(erp_date("h_document_date") >= months_before(day, 24))
+        ledger.filter(erp_date_between("h_document_date", months_before(day, 24)))
         .join(
             addressable_vendors(src, "vendor_id", "supplier_name", "category_l2"),
             F.col("d_vendor") == F.col("vendor_id"),
@@ -131,7 +131,7 @@ def sap_invoices(book) -> DataFrame:
     ledger = src.ledger.filter(
         (F.col("h_company_code") == COMPANY)
         & F.col("h_document_type").isin(INVOICE_DOCS)
-        & (erp_date("h_document_date") >= months_before(day, 24))
+        & erp_date_between("h_document_date", months_before(day, 24))
     ).withColumn("system", invoice_origin())
     ledger = ledger.filter(F.col("system") != "")
 
@@ -163,11 +163,12 @@ def sap_invoices(book) -> DataFrame:
 
 
 def _spend_documents(src) -> DataFrame:
-    return addressable_vendors(
-        src,
+    """In-scope spend lines by document. Not made distinct: both readers remove duplicates
+    after the join, so doing it here would only shuffle the spend cube once more."""
+    return in_scope_spend(src).select(
         "vendor_id",
         "supplier_name",
-        "category_l2",
+        F.col("category_l2").alias(L2),
         "invoice_document",
         "invoice_line_item",
     )

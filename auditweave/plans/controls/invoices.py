@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from auditweave.functions.anchors import months_before
 from auditweave.functions.envelope import Label, emit
-from auditweave.functions.keys import erp_date, order_system, strip_zeros
+from auditweave.functions.keys import erp_date, erp_date_between, order_system, strip_zeros
 from auditweave.operators.groups import label_group, members_of, with_group_number
 from auditweave.operators.ordering import dense_numbers, join_nullsafe
 from auditweave.operators.proximity import date_islands
@@ -105,15 +105,13 @@ def sap_dupe_invoices(book) -> DataFrame:
     run has several invoices and several item texts."""
     src, day = book.src, book.today
     invoices = (
-        src.ledger.withColumn("invoice_date", erp_date("h_document_date"))
-        .filter(
+        src.ledger.filter(
             (F.col("h_company_code") == COMPANY)
-            & (F.col("invoice_date") >= months_before(day, 24))
+            & erp_date_between("h_document_date", months_before(day, 24))
             & F.col("h_document_type").isin(ORDER_INVOICE_DOCS)
-        )
-        .select(
+        ).select(
             F.col("h_reference").alias("invoice_id"),
-            "invoice_date",
+            erp_date("h_document_date").alias("invoice_date"),
             F.col("d_purchasing_doc").alias("_po"),
             F.col("h_docheader_text").alias("_text"),
             "d_amount_in_lc",

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditweave.functions.envelope import Label, emit
-from auditweave.functions.keys import order_system, strip_zeros, erp_date
 from auditweave.functions.anchors import months_before
+from auditweave.functions.envelope import Label, emit
+from auditweave.functions.keys import erp_date, erp_date_between, order_system, strip_zeros
 from auditweave.operators.groups import label_group, members_of, with_group_number
 from auditweave.operators.ordering import dense_numbers
 from auditweave.operators.proximity import later_day_members, near_date_pairs
@@ -348,33 +348,26 @@ def sap_invoices_before_po(book, open_ended: bool = False) -> DataFrame:
     duplicates removed once after the joins instead of on each side.
     """
     src, day = book.src, book.today
-    start = months_before(day, 24)
-
-    def in_period(col):
-        return col >= start if open_ended else col.between(start, F.lit(day))
-
-    invoices = (
-        src.ledger.withColumn("invoice_date", erp_date("h_document_date"))
-        .filter(
-            (F.col("h_company_code") == COMPANY)
-            & in_period(F.col("invoice_date"))
-            & F.col("h_document_type").isin(ORDER_INVOICE_DOCS)
-        )
-        .select(
-            F.col("h_reference").alias("invoice_id"),
-            "invoice_date",
-            F.col("d_purchasing_doc").alias("po_order_id"),
-            F.col("h_docheader_text").alias("inv_description"),
-            "d_amount",
-            "d_amount_in_lc",
-            "d_gl_amount",
-            "d_cost_center",
-            "h_document_type",
-            order_system().alias("system"),
-        )
+    start, end = months_before(day, 24), None if open_ended else F.lit(day)
+    po_day = F.col("purchasing_document_date")
+    invoices = src.ledger.filter(
+        (F.col("h_company_code") == COMPANY)
+        & erp_date_between("h_document_date", start, end)
+        & F.col("h_document_type").isin(ORDER_INVOICE_DOCS)
+    ).select(
+        F.col("h_reference").alias("invoice_id"),
+        erp_date("h_document_date").alias("invoice_date"),
+        F.col("d_purchasing_doc").alias("po_order_id"),
+        F.col("h_docheader_text").alias("inv_description"),
+        "d_amount",
+        "d_amount_in_lc",
+        "d_gl_amount",
+        "d_cost_center",
+        "h_document_type",
+        order_system().alias("system"),
     )
     orders = src.po_schedule_line.filter(
-        in_period(F.col("purchasing_document_date"))
+        (po_day >= start if end is None else po_day.between(start, end))
         & (F.col("purchasing_organization") == COMPANY)
     ).select(
         F.col("purchasing_document_number").alias("po_order_id"),

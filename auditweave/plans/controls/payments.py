@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from auditweave.functions.anchors import months_before
 from auditweave.functions.envelope import Label, emit
-from auditweave.functions.keys import erp_date, order_system
+from auditweave.functions.keys import erp_date_between, order_system
 from auditweave.operators.groups import label_group, members_of, with_group_number
 from auditweave.operators.ordering import dense_numbers
 from auditweave.operators.proximity import has_other_nearby, on_or_after
@@ -114,7 +114,7 @@ def payments_within_1_day(book, floor: int = SAME_DAY_FLOOR) -> DataFrame:
         & (F.coalesce("d_special_gl_ind", F.lit("")) == "")
         & (F.col("d_amount") >= floor)
         & (F.col("d_vendor") != "")
-        & (erp_date("h_document_date") >= months_before(day, 24))
+        & erp_date_between("h_document_date", months_before(day, 24))
     ).select(
         order_system(with_freight=True).alias("system"),
         F.col("d_vendor").alias("vendor"),

@@ -18,8 +18,8 @@ from auditweave.operators.groups import (
 )
 from auditweave.operators.matching import MatchRule, match_by_rules, similar_text_pairs
 from auditweave.operators.ordering import dense_numbers
-from auditweave.sources.shelf import pin
 from auditweave.plans.scope import addressable_vendors, in_scope_spend, vendor_categories
+from auditweave.sources.shelf import pin
 
 L2 = "supplier_custom_category_l2"
 ACTIVE = "A"
@@ -119,18 +119,20 @@ def _blocked() -> Column:
 # --- vendors and employees -------------------------------------------------------------
 
 
-def _sharing_employee_bank(book, spend: DataFrame) -> DataFrame:
+def _employee_accounts(book) -> DataFrame:
+    """Active vendors' accounts that are also an employee's."""
     src = book.src
-    vendors = (
-        _banked(src, _active())
-        .join(spend, "supplier_id")
-        .withColumn("bank_key", joined_key(*_SHORT_BANK_KEY))
-        .distinct()
-    )
     accounts = src.payroll_bank.select(
         "employee_id", joined_key("bank_number", "bank_account_number").alias("emp_bank_key")
     ).distinct()
-    people = src.employee.select(
+    vendors = (
+        _banked(src, _active()).withColumn("bank_key", joined_key(*_SHORT_BANK_KEY)).distinct()
+    )
+    return vendors.join(accounts, F.col("bank_key") == F.col("emp_bank_key"))
+
+
+def _with_employees(book, matched: DataFrame, spend: DataFrame) -> DataFrame:
+    people = book.src.employee.select(
         F.col("employee_id").alias("_employee"),
         "first_name",
         "last_name",
@@ -140,18 +142,30 @@ def _sharing_employee_bank(book, spend: DataFrame) -> DataFrame:
         "job_title",
     )
     rows = (
-        vendors.join(accounts, F.col("bank_key") == F.col("emp_bank_key"))
-        .join(people, F.col("employee_id") == F.col("_employee"), "left")
+        matched.join(people, F.col("employee_id") == F.col("_employee"), "left")
         .drop("_employee")
         .distinct()
+        .join(spend, "supplier_id")
     )
     return emit(rows, EMPLOYEE_BANK, "supplier_creation_date", book.today, keep_area=True)
 
 
+def _spend_of(src, vendors: DataFrame) -> DataFrame:
+    """In-scope spend rows of the given vendors only: few vendors are ever found, so the
+    rest of the spend cube leaves before it is shuffled."""
+    return (
+        in_scope_spend(src)
+        .select(
+            F.col("vendor_id").alias("supplier_id"), F.col("category_l2").alias(L2), "amount"
+        )
+        .join(vendors.select("supplier_id").distinct(), "supplier_id", "left_semi")
+    )
+
+
 def vendor_employee_same_bank(book) -> DataFrame:
     """Active vendors paid into an employee's account, per distinct spend amount."""
-    spend = addressable_vendors(book.src, "vendor_id", "category_l2", "amount")
-    return _sharing_employee_bank(book, spend.withColumnRenamed("vendor_id", "supplier_id"))
+    matched = pin(_employee_accounts(book), "employee-accounts")
+    return _with_employees(book, matched, _spend_of(book.src, matched).distinct())
 
 
 def vendor_employee_same_address(book) -> DataFrame:
@@ -159,12 +173,13 @@ def vendor_employee_same_address(book) -> DataFrame:
 
     Its name says address; the employee extract holds none, so the account is compared.
     """
+    matched = pin(_employee_accounts(book), "employee-accounts")
     spend = (
-        in_scope_spend(book.src)
-        .groupBy(F.col("vendor_id").alias("supplier_id"), F.col("category_l2").alias(L2))
+        _spend_of(book.src, matched)
+        .groupBy("supplier_id", L2)
         .agg(F.sum("amount").alias("amount"))
     )
-    return _sharing_employee_bank(book, spend)
+    return _with_employees(book, matched, spend)
 
 
 def payments_shared_bank(book) -> DataFrame:
@@ -441,14 +456,14 @@ def same_financial_contact(book) -> DataFrame:
 def vendors_no_bank(book) -> DataFrame:
     """Active vendors without a bank key, per distinct spend amount."""
     src = book.src
-    spend = addressable_vendors(src, "vendor_id", "category_l2", "amount")
-    rows = (
+    unbanked = pin(
         _banked(src, _active(), "left")
         .filter(F.col("bank_keys").isNull())
-        .join(spend.withColumnRenamed("vendor_id", "supplier_id"), "supplier_id")
         .withColumn("bank_key", joined_key(*_SHORT_BANK_KEY))
-        .distinct()
+        .distinct(),
+        "unbanked",
     )
+    rows = unbanked.join(_spend_of(src, unbanked).distinct(), "supplier_id")
     return emit(rows, NO_BANK, "supplier_creation_date", book.today, keep_area=True)
 
 

@@ -241,6 +241,8 @@ SELECT lpad(CAST(s_suppkey AS STRING),10,'0') AS company, s_name AS name, CASE W
 """,
 }
 
+SPREAD = {"approval_event"}
+
 _INPUT = re.compile(r"{(\w+)}")
 
 
@@ -263,7 +265,9 @@ def bind(spark: SparkSession, sf_dir: str) -> Sources:
         return shelf.keep((sf_dir, name), lambda: derive(name))
 
     def derive(name: str) -> DataFrame:
-        return spark.sql(DEFINITIONS[name], **{dep: relation(dep) for dep in inputs_of(name)})
+        df = spark.sql(DEFINITIONS[name], **{dep: relation(dep) for dep in inputs_of(name)})
+        # a sample table is one file, hence one task; spread what is derived row by row
+        return df.repartition(spark.sparkContext.defaultParallelism) if name in SPREAD else df
 
     return Sources({name: (lambda name=name: relation(name)) for name in LAYOUTS})
 
