@@ -6,8 +6,7 @@ import argparse
 import json
 from datetime import date
 
-from pyspark.sql import SparkSession
-
+from auditweave import session
 from auditweave.book import AuditBook
 from auditweave.functions.anchors import Anchors
 from auditweave.plans.runner import run_audit
@@ -26,7 +25,7 @@ def main() -> None:
     parser.add_argument("--probe", action="store_true", help="only check the sources")
     args = parser.parse_args()
 
-    spark = SparkSession.builder.appName("auditweave").getOrCreate()
+    spark = session.build("auditweave")
     root = args.sources.rstrip("/")
     sources = Sources.from_paths(spark, {n: f"{root}/{n}" for n in LAYOUTS}, args.format)
     if args.probe:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 from auditweave.functions.anchors import Anchors
 from auditweave.sources.catalog import Sources
@@ -11,6 +13,7 @@ from auditweave.sources.shelf import shelf_of
 # Plans that several others read. Their readers share one written table, as an audit run
 # would keep them; asked for by name they are plain lazy plans.
 SHARED = (
+    "addressable_vendors",
     "ariba_po_invoice",
     "base_payment",
     "sap_invoices",
@@ -29,7 +32,7 @@ class AuditBook:
         written tables. Without a tag a book shares with no other."""
         self.src = sources
         self.anchors = anchors or Anchors.now()
-        self._tag = tag or f"book-{id(self)}"
+        self._tag = tag or uuid.uuid4().hex
         self._kept: dict[str, DataFrame] = {}
 
     @property
@@ -60,7 +63,7 @@ class AuditBook:
         return self._kept[name]
 
     def _shared(self, name: str) -> DataFrame:
-        from pyspark.sql import SparkSession
-
-        shelf = shelf_of(SparkSession.getActiveSession())
+        # a thread of its own has no active session; the application's is the same one
+        spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+        shelf = shelf_of(spark)
         return shelf.keep((self._tag, self.anchors, name), lambda: self.plan(name))

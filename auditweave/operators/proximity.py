@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from auditweave.operators.ordering import join_nullsafe
-
 
 def near_date_pairs(
     rows: DataFrame, keys: list[str], row_id: str, day: str, within: int
@@ -111,19 +109,20 @@ def later_day_members(
     return earlier.unionByName(later).distinct()
 
 
-def date_islands(rows: DataFrame, keys: list[str], day: str, gap: int) -> DataFrame:
-    """Attach ``island``: runs of days per key, a new one where the step is >= ``gap`` days.
+def day_islands(rows: DataFrame, keys: list[str], day: str, gap: int) -> DataFrame:
+    """(keys, day, island): runs of days per key, a new one where the step is >= ``gap`` days.
 
-    Rows of one day always share an island, so runs are found on distinct days.
+    Rows of one day always share an island, so runs are found on distinct days and a window
+    never holds more rows than there are days.
     """
     per_key = W.partitionBy(*keys).orderBy(day)
     step = F.datediff(day, F.lag(day).over(per_key))
-    days = rows.select(*keys, day).distinct()
-    starts = days.withColumn(
-        "_start", F.when(step.isNull() | (step >= gap), 1).otherwise(0)
+    starts = (
+        rows.select(*keys, day)
+        .distinct()
+        .withColumn("_start", F.when(step.isNull() | (step >= gap), 1).otherwise(0))
     )
-    islands = starts.withColumn("island", F.sum("_start").over(per_key)).drop("_start")
-    return join_nullsafe(rows, islands, [*keys, day])
+    return starts.withColumn("island", F.sum("_start").over(per_key)).drop("_start")
 
 
 def on_or_after(day: Column, start: Column, days: int) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from auditweave.functions.anchors import months_before
 from auditweave.functions.keys import erp_date, erp_date_between, invoice_origin, strip_zeros
 from auditweave.operators.ranking import first_per_key, ranked_columns
-from auditweave.plans.scope import COMPANY, addressable_vendors, in_scope_spend
+from auditweave.plans.scope import COMPANY, in_scope_spend, scope_columns
 
 L2 = "supplier_custom_category_l2"
 
@@ -71,8 +71,8 @@ def ariba_po_invoice(book) -> DataFrame:
         )
         .withColumn("amount_paid_excl_tax", F.col("amount_paid") - F.col("tax_paid"))
     )
-    vendors = addressable_vendors(
-        src, "vendor_id", "category_l1", "category_l2", "category_l3"
+    vendors = scope_columns(
+        book, "vendor_id", "supplier_custom_category_l1", L2, "supplier_custom_category_l3"
     )
     return (
         orders.join(vendors, F.col("vendor_number") == F.col("vendor_id"))
@@ -101,7 +101,7 @@ def base_payment(book) -> DataFrame:
     by_vendor = (
         ledger.filter(erp_date_between("h_document_date", months_before(day, 24)))
         .join(
-            addressable_vendors(src, "vendor_id", "supplier_name", "category_l2"),
+            scope_columns(book, "vendor_id", "supplier_name", L2),
             F.col("d_vendor") == F.col("vendor_id"),
         )
         .select(*shaped)
@@ -156,7 +156,7 @@ def sap_invoices(book) -> DataFrame:
         *shaped(F.coalesce("d_vendor", "vendor_id"))
     )
     by_vendor = ledger.join(
-        addressable_vendors(src, "vendor_id", "supplier_name", "category_l2"),
+        scope_columns(book, "vendor_id", "supplier_name", L2),
         F.col("d_vendor") == F.col("vendor_id"),
     ).select(*shaped(F.col("d_vendor")))
     return by_vendor.unionByName(by_document).distinct()
@@ -201,7 +201,7 @@ def sap_po(book) -> DataFrame:
         )
         .distinct()
     )
-    vendors = addressable_vendors(src, "vendor_id", "supplier_name", "category_l2")
+    vendors = scope_columns(book, "vendor_id", "supplier_name", L2)
     return (
         lines.join(vendors, strip_zeros("line_vendor") == strip_zeros("vendor_id"))
         .groupBy(
@@ -234,7 +234,7 @@ def maximo_po(book) -> DataFrame:
     companies = src.maximo_company.filter("isdeleted IS NULL").select(
         "company", F.col("name").alias("vendor_name")
     )
-    vendors = addressable_vendors(src, "vendor_id", "category_l2")
+    vendors = scope_columns(book, "vendor_id", L2)
     joined = (
         orders.join(people, F.col("changeby") == F.col("personid"))
         .join(companies, F.col("vendor") == F.col("company"))

@@ -10,10 +10,10 @@ from auditweave.functions.envelope import Label, emit
 from auditweave.functions.keys import erp_date, erp_date_between, order_system, strip_zeros
 from auditweave.operators.groups import label_group, members_of, with_group_number
 from auditweave.operators.ordering import dense_numbers, join_nullsafe
-from auditweave.operators.proximity import date_islands
+from auditweave.operators.proximity import day_islands
 from auditweave.operators.split import split_groups
 from auditweave.plans.controls.orders import ORDER_INVOICE_DOCS
-from auditweave.plans.scope import COMPANY, addressable_vendors, in_scope_spend
+from auditweave.plans.scope import COMPANY, in_scope_spend, scope_columns
 from auditweave.sources.shelf import pin
 
 L2 = "supplier_custom_category_l2"
@@ -63,7 +63,7 @@ def ariba_dupe_invoices(book) -> DataFrame:
         .agg((F.col("paid_amount") - F.sum("tax_amount")).alias("invoice_amt_paid"))
         .filter(F.col("invoice_amt_paid") != 0)
     )
-    scope = addressable_vendors(src, "vendor_id")
+    scope = scope_columns(book, "vendor_id")
     suppliers = (
         src.spend_base.join(scope, "vendor_id", "left_semi")
         .select(
@@ -83,6 +83,7 @@ def ariba_dupe_invoices(book) -> DataFrame:
         "erp_supplier_id",
         "erp_supplier",
     )
+    rows = pin(rows, "lines")  # read for the groups and again for their members
     keys = ["invoice_date", "erp_supplier_id", "invoice_amt_paid"]
     groups = rows.groupBy(*keys).agg(F.count("*").alias("_rows")).filter("_rows > 1")
     rows = members_of(rows, with_group_number(groups.select(*keys), keys), keys)
@@ -143,7 +144,8 @@ def sap_dupe_invoices(book) -> DataFrame:
         )
         .agg(F.sum("d_amount_in_lc").alias("invoice_amt_paid"))
     )
-    in_scope = addressable_vendors(src, "vendor_id", "supplier_name", "category_l2").select(
+    # one row per name and category, as the vendor list is kept
+    in_scope = scope_columns(book, "vendor_id", "supplier_name", L2).select(
         F.col("vendor_id").alias("_scope")
     )
     rows = (
@@ -167,20 +169,24 @@ def sap_dupe_invoices(book) -> DataFrame:
         )
     )
     pair = ["erp_supplier_id", "invoice_amt_paid"]
-    runs = pin(date_islands(pin(rows, "lines"), pair, "invoice_date", ISLAND_GAP_DAYS), "runs")
+    day_key, run_key = [*pair, "invoice_date"], [*pair, "island"]
+    rows = pin(rows, "lines")
+    runs = pin(day_islands(rows, pair, "invoice_date", ISLAND_GAP_DAYS), "runs")
     # runs are numbered before the suspicious ones are picked
-    numbers = dense_numbers(runs, [*pair, "island"], "group_number")
+    numbers = dense_numbers(runs, run_key, "group_number")
     suspicious = (
-        runs.groupBy(*pair, "island")
+        join_nullsafe(rows, runs, day_key)
+        .groupBy(*run_key)
         .agg(
             F.count_distinct("invoice_id").alias("_ids"),
             F.count_distinct("inv_description").alias("_texts"),
         )
         .filter("_ids > 1 AND _texts > 1")
-        .select(*pair, "island")
+        .select(*run_key)
     )
-    groups = join_nullsafe(suspicious, numbers, [*pair, "island"])
-    rows = join_nullsafe(runs, groups, [*pair, "island"]).drop("island")
+    groups = join_nullsafe(suspicious, numbers, run_key)
+    days = join_nullsafe(runs, groups, run_key).drop("island")
+    rows = join_nullsafe(rows, days, day_key)
     rows = rows.withColumn("dupe_invoice_group", label_group("group_number", "group "))
     return emit(
         rows,
@@ -209,7 +215,7 @@ _SPLIT_COLUMNS = [
 
 
 def _split_invoices(book, invoices: DataFrame) -> DataFrame:
-    small = invoices.filter(F.col("invoice_amount_ex_tax") < SPLIT_THRESHOLD)
+    small = pin(invoices.filter(F.col("invoice_amount_ex_tax") < SPLIT_THRESHOLD), "small")
     groups = split_groups(
         small,
         "vendor",

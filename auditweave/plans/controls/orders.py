@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditweave.functions.anchors import months_before
@@ -11,7 +11,6 @@ from auditweave.functions.keys import erp_date, erp_date_between, order_system,
 from auditweave.operators.groups import label_group, members_of, with_group_number
 from auditweave.operators.ordering import dense_numbers
 from auditweave.operators.proximity import later_day_members, near_date_pairs
-from auditweave.operators.split import split_groups
 from auditweave.plans.scope import COMPANY, vendor_categories
 from auditweave.sources.shelf import pin
 
@@ -82,7 +81,7 @@ def ariba_dupe_po(book, symmetric: bool = False) -> DataFrame:
         )
         .distinct()
     )
-    keyed = po.withColumn(
+    keyed = pin(po, "orders").withColumn(
         "_key", F.concat("vendor_number", F.lit("-"), F.col("po_spend").cast("string"))
     )
     if symmetric:
@@ -105,7 +104,7 @@ def ariba_dupe_po(book, symmetric: bool = False) -> DataFrame:
             F.col("_key_number").cast("string"), F.lit("-"), F.col("anchor").cast("string")
         ).alias("_group"),
     )
-    flagged = pin(po.join(members, "po_number"), "flagged")
+    flagged = pin(keyed.drop("_key").join(members, "po_number"), "flagged")
     repeated = (
         flagged.groupBy("_group").agg(F.count("*").alias("_rows")).filter("_rows > 1")
     )
@@ -179,23 +178,32 @@ def maximo_duplicate_po(book) -> DataFrame:
     return emit(rows, DUPLICATE_PO, "po_date", book.today)
 
 
-def _split_rows(rows: DataFrame, groups: DataFrame, amount: str) -> DataFrame:
-    """Members of split groups with the amount of their vendor and day.
+def _split_members(
+    rows: DataFrame, also_by: list[str], documents: Column, reached: Column, amount: str
+) -> DataFrame:
+    """Members of vendor-days on which some group of orders reaches the threshold.
 
-    Several groups can share a vendor and day (they differ by name or category); the amount
-    then counts each member once per group.
+    Groups are formed by vendor, day and ``also_by`` but numbered by vendor and day. The
+    amount reported for a day counts every order of the day once per group found on it, so
+    one pass over the rows gives groups, day totals and numbers.
     """
     keys = ["vendor_number", "po_date"]
-    days = groups.groupBy(*keys).agg(
-        F.max("group_id").alias("group_id"), F.count("*").alias("_groups")
-    )
-    totals = rows.groupBy(*keys).agg(F.sum(amount).alias("_sum"))
-    flagged = days.join(totals, keys).select(
-        *keys,
-        "group_id",
-        (F.col("_sum") * F.col("_groups")).cast("decimal(38,2)").alias("total_po_amount"),
+    found = (F.col("_documents") > 1) & (F.col("_reached") >= SPLIT_THRESHOLD)
+    days = (
+        rows.filter(F.col("vendor_number").isNotNull() & F.col("po_date").isNotNull())
+        .groupBy(*keys, *also_by)
+        .agg(
+            documents.alias("_documents"), reached.alias("_reached"), F.sum(amount).alias("_sum")
+        )
+        .groupBy(*keys)
+        .agg(F.count(F.when(found, 1)).alias("_groups"), F.sum("_sum").alias("_sum"))
+        .filter("_groups > 0")
+        .select(
+            *keys,
+            (F.col("_sum") * F.col("_groups")).cast("decimal(38,2)").alias("total_po_amount"),
+        )
     )
-    return members_of(rows, flagged, keys)
+    return members_of(rows, with_group_number(days, keys, "group_id"), keys)
 
 
 def ariba_split_po(book) -> DataFrame:
@@ -218,18 +226,11 @@ def ariba_split_po(book) -> DataFrame:
         )
         .distinct()
     )
-    groups = split_groups(
-        po,
-        "vendor_number",
-        "po_date",
-        ["vendor_description", L2],
-        F.count("po_number"),
-        F.sum("po_amount_invoiced"),
-        SPLIT_THRESHOLD,
+    members = _split_members(
+        po, ["vendor_description", L2], F.count("po_number"), F.sum("po_amount_invoiced"), "po_amount_invoiced"
     )
     rows = (
-        _split_rows(po, groups, "po_amount_invoiced")
-        .select(
+        members.select(
             L2,
             "vendor_number",
             "vendor_description",
@@ -260,18 +261,11 @@ def sap_split_po(book) -> DataFrame:
         )
         .distinct()
     )
-    groups = split_groups(
-        po,
-        "vendor_number",
-        "po_date",
-        ["vendor_description"],
-        F.count_distinct("po_number"),
-        F.sum("po_amount"),
-        SPLIT_THRESHOLD,
+    members = _split_members(
+        po, ["vendor_description"], F.count_distinct("po_number"), F.sum("po_amount"), "po_amount"
     )
     rows = (
-        _split_rows(po, groups, "po_amount")
-        .select(
+        members.select(
             L2,
             "vendor_number",
             "vendor_description",
@@ -388,7 +382,7 @@ def sap_invoices_before_po(book, open_ended: bool = False) -> DataFrame:
         ),
         strip_zeros("erp_supplier_id") == strip_zeros("_vendor"),
     ).join(
-        vendor_categories(src, "_scope"),
+        vendor_categories(book, "_scope"),
         strip_zeros("erp_supplier_id") == strip_zeros("_scope"),
     )
     named = named.drop("_vendor", "_scope")

@@ -11,7 +11,7 @@ from auditweave.functions.keys import erp_date_between, order_system
 from auditweave.operators.groups import label_group, members_of, with_group_number
 from auditweave.operators.ordering import dense_numbers
 from auditweave.operators.proximity import has_other_nearby, on_or_after
-from auditweave.plans.scope import COMPANY, addressable_vendors, vendor_categories
+from auditweave.plans.scope import COMPANY, scope_columns, vendor_categories
 
 L2 = "supplier_custom_category_l2"
 
@@ -93,7 +93,7 @@ def repeat_payments_same_amount(book, within: int = REPEAT_DAYS) -> DataFrame:
         "payment_date",
         within,
     )
-    vendors = addressable_vendors(book.src, "vendor_id", "supplier_name", "category_l2")
+    vendors = scope_columns(book, "vendor_id", "supplier_name", L2)
     rows = (
         payments.drop(L2, "vendor_name")
         .join(repeated, "payment_clearing_doc", "left_semi")
@@ -122,7 +122,7 @@ def payments_within_1_day(book, floor: int = SAME_DAY_FLOOR) -> DataFrame:
         F.col("h_posting_date").alias("payment_date"),
         F.col("d_amount").alias("payment_amount"),
     )
-    vendors = addressable_vendors(src, "vendor_id", "supplier_name", "category_l2")
+    vendors = scope_columns(book, "vendor_id", "supplier_name", L2)
     keys = ["vendor", "payment_date"]
     shared = credits.groupBy(*keys).agg(F.count("*").alias("_rows")).filter("_rows > 1")
     # groups are numbered over the vendors in scope only
@@ -295,7 +295,7 @@ def one_time_vendor_payment(book) -> DataFrame:
         .drop("_payments")
     )
     detailed = single.join(vendor, "supplier_id").join(
-        vendor_categories(book.src, "supplier_id"), "supplier_id"
+        vendor_categories(book, "supplier_id"), "supplier_id"
     )
     only_once = (
         detailed.groupBy("supplier_id").agg(F.count("*").alias("_rows")).filter("_rows = 1")
@@ -320,7 +320,7 @@ def payment_soon_after_creation(book) -> DataFrame:
     rows = (
         paid.join(vendor, (F.col("d_vendor") == F.col("supplier_id")) & soon)
         .drop("d_vendor")
-        .join(vendor_categories(book.src, "supplier_id"), "supplier_id")
+        .join(vendor_categories(book, "supplier_id"), "supplier_id")
         .distinct()
     )
     return emit(

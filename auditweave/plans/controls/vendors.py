@@ -18,7 +18,7 @@ from auditweave.operators.groups import (
 )
 from auditweave.operators.matching import MatchRule, match_by_rules, similar_text_pairs
 from auditweave.operators.ordering import dense_numbers
-from auditweave.plans.scope import addressable_vendors, in_scope_spend, vendor_categories
+from auditweave.plans.scope import in_scope_spend, scope_columns, vendor_categories
 from auditweave.sources.shelf import pin
 
 L2 = "supplier_custom_category_l2"
@@ -209,10 +209,11 @@ def dupe_vendors(book) -> DataFrame:
     src = book.src
     vendors = (
         _banked(src, _active())
-        .join(vendor_categories(src, "supplier_id"), "supplier_id")
+        .join(vendor_categories(book, "supplier_id"), "supplier_id")
         .withColumn("bank_key", joined_key(*_LONG_BANK_KEY))
         .distinct()
     )
+    vendors = pin(vendors, "accounts")  # read twice for each of three reasons
     reasons = [
         ("ABN dupe", "abn", F.col("abn") != ""),
         ("Address dupe", "full_address", F.col("full_address") != ""),
@@ -251,12 +252,12 @@ def dupe_vendors(book) -> DataFrame:
     )
 
 
-def _blocked_and_approved(src) -> tuple[DataFrame, DataFrame]:
-    categories = vendor_categories(src, "supplier_id")
+def _blocked_and_approved(book) -> tuple[DataFrame, DataFrame]:
+    categories = vendor_categories(book, "supplier_id")
 
     def side(status: Column, prefix: str) -> DataFrame:
         rows = (
-            _banked(src, status)
+            _banked(book.src, status)
             .join(categories, "supplier_id")
             .withColumn("bank_key", joined_key(*_LONG_BANK_KEY))
         )
@@ -270,7 +271,8 @@ def _blocked_and_approved(src) -> tuple[DataFrame, DataFrame]:
             F.col(L2).alias(f"{prefix}_{L2}"),
         ).distinct()
 
-    return side(_blocked(), "blocked"), side(_active(), "approved")
+    # each side meets the other once per rule
+    return pin(side(_blocked(), "blocked"), "blocked"), pin(side(_active(), "approved"), "approved")
 
 
 def approved_vs_blocked(book) -> DataFrame:
@@ -280,7 +282,7 @@ def approved_vs_blocked(book) -> DataFrame:
     The alternatives are separate equi-joins; a pair found by several is kept once and its
     reason is decided afterwards, in a fixed order.
     """
-    blocked, approved = _blocked_and_approved(book.src)
+    blocked, approved = _blocked_and_approved(book)
     exact = match_by_rules(
         blocked,
         approved,
@@ -333,12 +335,12 @@ def _numbered_by_approved(rows: DataFrame) -> DataFrame:
 def blocked_reonboarded(book) -> DataFrame:
     """Blocked vendors whose details reappear on another, approved vendor."""
     src = book.src
-    categories = vendor_categories(src, "supplier_id")
+    categories = vendor_categories(book, "supplier_id")
     contact = ["financial_party_contact_name", "email_address", "telephone_number"]
 
     def side(status: Column, names: dict[str, str]) -> DataFrame:
         rows = _banked(src, status, "inner", *contact).join(categories, "supplier_id")
-        return rows.select(*[F.col(c).alias(n) for c, n in names.items()]).distinct()
+        return pin(rows.select(*[F.col(c).alias(n) for c, n in names.items()]).distinct(), "side")
 
     blocked = side(
         _blocked(),
@@ -440,9 +442,10 @@ def same_financial_contact(book) -> DataFrame:
     src = book.src
     vendors = (
         _profiles(src.dim_vendor, "financial_party_contact_name")
-        .join(vendor_categories(src, "supplier_id"), "supplier_id")
+        .join(vendor_categories(book, "supplier_id"), "supplier_id")
         .distinct()
     )
+    vendors = pin(vendors, "profiles")
     key = "financial_party_contact_name"
     # the group of vendors without a contact takes a number but has no members
     groups = vendors.groupBy(key).agg(F.count("*").alias("vendor_cnt")).filter("vendor_cnt > 1")
@@ -547,9 +550,7 @@ def _incomplete(book, label: Label, in_country: Column, mandatory: list[str]) ->
         return df.select(F.col("vendor").alias("supplier_id"), *columns)
 
     lookups = [
-        addressable_vendors(src, "vendor_id", "category_l2", "payment_terms").withColumnRenamed(
-            "vendor_id", "supplier_id"
-        ),
+        scope_columns(book, F.col("vendor_id").alias("supplier_id"), L2, "payment_terms"),
         by_vendor(src.vendor_bank, *_BANK),
         _contacts(
             src,

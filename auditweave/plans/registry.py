@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from auditweave.plans import conformed, unions, vendor_tables
+from auditweave.plans import conformed, scope, unions, vendor_tables
 from auditweave.plans.controls import approvals, invoices, orders, payments, vendors
 
 Plan = Callable[..., DataFrame]
@@ -14,6 +14,7 @@ Plan = Callable[..., DataFrame]
 CONFORMED: dict[str, Plan] = {
     f.__name__: f
     for f in (
+        scope.addressable_vendors,
         conformed.ariba_po_invoice,
         conformed.base_payment,
         conformed.sap_invoices,

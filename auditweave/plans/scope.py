@@ -9,13 +9,6 @@ from pyspark.sql import functions as F
 COMPANY = "1000"
 OUT_OF_SCOPE = "Non Addressable"
 
-# Output name of each spend-cube column.
-_OUTPUT_NAMES = {
-    "category_l1": "supplier_custom_category_l1",
-    "category_l2": "supplier_custom_category_l2",
-    "category_l3": "supplier_custom_category_l3",
-}
-
 
 def in_scope_spend(src) -> DataFrame:
     return src.spend_base.filter(
@@ -23,17 +16,33 @@ def in_scope_spend(src) -> DataFrame:
     )
 
 
-def addressable_vendors(src, *cols: str) -> DataFrame:
-    """Distinct spend-cube columns of the vendors in scope; may hold several rows a vendor."""
+def addressable_vendors(book) -> DataFrame:
+    """Vendors in scope with their names, categories and terms; several rows a vendor.
+
+    A shared table: it is the only thing most plans need from the spend cube, so the cube
+    is scanned for it once a run.
+    """
     return (
-        in_scope_spend(src)
-        .select(*[F.col(c).alias(_OUTPUT_NAMES.get(c, c)) for c in cols])
+        in_scope_spend(book.src)
+        .select(
+            "vendor_id",
+            "supplier_name",
+            F.col("category_l1").alias("supplier_custom_category_l1"),
+            F.col("category_l2").alias("supplier_custom_category_l2"),
+            F.col("category_l3").alias("supplier_custom_category_l3"),
+            "payment_terms",
+        )
         .distinct()
     )
 
 
-def vendor_categories(src, key: str = "vendor") -> DataFrame:
+def scope_columns(book, *cols: str) -> DataFrame:
+    """Distinct columns of the vendors in scope."""
+    return book.table("addressable_vendors").select(*cols).distinct()
+
+
+def vendor_categories(book, key: str = "vendor") -> DataFrame:
     """(vendor, second-level category) pairs in scope, vendor column named ``key``."""
-    return addressable_vendors(src, "vendor_id", "category_l2").withColumnRenamed(
-        "vendor_id", key
+    return scope_columns(
+        book, F.col("vendor_id").alias(key), "supplier_custom_category_l2"
     )

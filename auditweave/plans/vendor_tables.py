@@ -10,7 +10,7 @@ from auditweave.functions.keys import full_address_blank_nulls
 from auditweave.operators.features import peer_positions, peer_summary, unpivot
 from auditweave.operators.ordering import join_nullsafe
 from auditweave.operators.ranking import first_per_key
-from auditweave.plans.scope import addressable_vendors
+from auditweave.plans.scope import in_scope_spend, scope_columns
 
 SYSTEM = "Ariba"
 
@@ -43,8 +43,10 @@ def vendor_attributes(book, one_category_per_vendor: bool = False) -> DataFrame:
     if one_category_per_vendor:
         categories = _main_category(src)
     else:
-        categories = addressable_vendors(
-            src, "vendor_id", "category_l1", "category_l2", "category_l3"
+        categories = scope_columns(
+            book,
+            "vendor_id",
+            *[f"supplier_custom_category_l{i}" for i in (1, 2, 3)],
         )
     absent = F.lit(None).cast("string")
     vendor = src.dim_vendor.select(
@@ -86,8 +88,6 @@ def vendor_attributes(book, one_category_per_vendor: bool = False) -> DataFrame:
 
 
 def _main_category(src) -> DataFrame:
-    from auditweave.plans.scope import in_scope_spend
-
     names = {f"category_l{i}": f"supplier_custom_category_l{i}" for i in (1, 2, 3)}
     spend = in_scope_spend(src).groupBy("vendor_id", *names).agg(F.sum("amount").alias("_spend"))
     return (
