@@ -176,9 +176,9 @@ def ariba_deleted_user(book) -> DataFrame:
             F.col("approvable_id").alias("requisition_id"),
             "requester_user",
             F.col("approver").alias("deleted_user"),
-            F.col("assigned_date").cast("date").alias("deleted_user_date"),
+            F.col("assigned_date").alias("deleted_user_date"),
             "prev_approver",
-            F.col("prev_assigned_date").cast("date").alias("prev_approver_assigned_date"),
+            F.col("prev_assigned_date").alias("prev_approver_assigned_date"),
             "approver_deleted_by",
             F.when(F.col("approver") != F.col("_running"), F.col("_running")).alias(
                 "last_approver"

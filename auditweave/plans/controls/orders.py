@@ -116,28 +116,30 @@ def ariba_dupe_po(book, symmetric: bool = False) -> DataFrame:
     return emit(rows, DUPLICATE_PO, "po_date", book.today)
 
 
+def _pair_groups(orders: DataFrame, within: int) -> DataFrame:
+    """(po_number, group_number): every two orders of one vendor and amount at most
+    ``within`` days apart form a group, named by the smaller order number."""
+    pairs = pin(
+        near_date_pairs(
+            orders, ["vendor_number", "po_spend"], "po_number", "po_date", within
+        ),
+        "pairs",
+    )
+    return (
+        pairs.select("low", F.explode(F.array("low", "high")).alias("po_number"))
+        .distinct()
+        .join(dense_numbers(pairs, ["low"], "group_number"), "low")
+        .drop("low")
+    )
+
+
 def sap_duplicate_po(book) -> DataFrame:
     """Orders of one vendor and gross amount at most 3 days apart, grouped by the smaller
     order number of each pair; an order is in every group it pairs into."""
     po = book.table("sap_po").filter(
         (F.col("po_amount_gross") > DUPLICATE_FLOOR) & ~F.col("vendor").isin(EXEMPT_VENDORS)
     )
-    pairs = near_date_pairs(
-        po,
-        ["vendor", "po_amount_gross"],
-        "purchasing_document_number",
-        "purchasing_document_date",
-        3,
-    )
-    pairs = pin(pairs, "pairs")
-    numbers = dense_numbers(pairs, ["low"], "group_number")
-    membership = (
-        pairs.select("low", F.explode(F.array("low", "high")).alias("po_number"))
-        .distinct()
-        .join(numbers, "low")
-        .drop("low")
-    )
-    rows = po.select(
+    shaped = po.select(
         F.col("purchasing_document_number").alias("po_number"),
         F.col("purchasing_document_date").cast("date").alias("po_date"),
         F.col("purchasing_item_short_text").alias("po_description"),
@@ -146,15 +148,19 @@ def sap_duplicate_po(book) -> DataFrame:
         F.col("po_amount_gross").alias("po_spend"),
         F.lit("").alias("po_status"),
         L2,
-    ).distinct()
-    rows = rows.join(membership, "po_number").withColumns(
+    )
+    rows = shaped.distinct().join(_pair_groups(shaped, 3), "po_number").withColumns(
         {"dupe_po_group": label_group("group_number"), "system": F.lit("SAP")}
     )
     return emit(rows, DUPLICATE_PO, "po_date", book.today, prior_year="cumulative")
 
 
-def maximo_duplicate_po(book) -> DataFrame:
-    """Orders of one vendor, day and gross amount."""
+def maximo_duplicate_po(book, within: int | None = None) -> DataFrame:
+    """Orders of one vendor, name, day and gross amount.
+
+    The report's text speaks of 0-3 days; ``within=3`` groups as it says, the way
+    ``sap_duplicate_po`` does.
+    """
     po = (
         book.table("maximo_po")
         .filter(F.col("po_amount_gross") > DUPLICATE_FLOOR)
@@ -170,8 +176,11 @@ def maximo_duplicate_po(book) -> DataFrame:
         )
     )
     keys = ["vendor_number", "vendor_description", "po_date", "po_spend"]
-    groups = po.groupBy(*keys).agg(F.count("*").alias("_rows")).filter("_rows > 1")
-    rows = members_of(po, with_group_number(groups.select(*keys), keys), keys).distinct()
+    if within is None:
+        groups = po.groupBy(*keys).agg(F.count("*").alias("_rows")).filter("_rows > 1")
+        rows = members_of(po, with_group_number(groups.select(*keys), keys), keys).distinct()
+    else:
+        rows = po.distinct().join(_pair_groups(po, within), "po_number")
     rows = rows.withColumns(
         {"dupe_po_group": label_group("group_number"), "system": F.lit("Maximo")}
     )

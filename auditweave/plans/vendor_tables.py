@@ -11,6 +11,7 @@ from auditweave.operators.features import peer_positions, peer_summary, unpivot
 from auditweave.operators.ordering import join_nullsafe
 from auditweave.operators.ranking import first_per_key
 from auditweave.plans.scope import in_scope_spend, scope_columns
+from auditweave.sources.shelf import pin
 
 SYSTEM = "Ariba"
 
@@ -315,8 +316,12 @@ def _raw_features(book) -> DataFrame:
 def vendor_peer_stats(book) -> DataFrame:
     """Peer median and mean of every feature per second-level category, with group size."""
     raw = _raw_features(book)
-    positions = peer_positions(raw, "supplier_category_l2", FEATURES)
-    return _wide_summary(positions)
+    return _wide_summary(_positions(raw))
+
+
+def _positions(raw: DataFrame) -> DataFrame:
+    # one row per (category, feature, value), read for ranks, medians and sizes
+    return pin(peer_positions(raw, "supplier_category_l2", FEATURES), "positions")
 
 
 def _wide_summary(positions: DataFrame) -> DataFrame:
@@ -339,7 +344,7 @@ def vendor_features(book, load_stamp: bool = True) -> DataFrame:
     raw = _raw_features(book)
     # equal rows (a vendor listed twice with the same attributes) are carried as a count
     distinct = raw.groupBy(*IDENTITY, *FEATURES).agg(F.count("*").alias("_copies"))
-    positions = peer_positions(raw, "supplier_category_l2", FEATURES)
+    positions = _positions(raw)
     ranks = positions.select(
         "supplier_category_l2",
         "feature",

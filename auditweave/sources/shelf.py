@@ -3,7 +3,7 @@
 A plan that is read several times, or whose rows must not be drawn twice, is written once
 as Parquet and read back. That cuts its lineage, survives lost executors and gives the
 planner true sizes. The folder lies under ``spark.checkpoint.dir``, which a cluster points
-at shared storage; only where the session names none (local tests) do we pick one.
+at shared storage. Only a local session that names none gets a folder of its own.
 """
 
 from __future__ import annotations
@@ -16,10 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 class Shelf:
     def __init__(self, spark: SparkSession):
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            root = tempfile.mkdtemp(prefix="auditweave-")
-            spark.conf.set("spark.checkpoint.dir", root)
+        context = spark.sparkContext
+        root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        if not root and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to storage all executors share")
+        root = root or tempfile.mkdtemp(prefix="auditweave-")
         self._spark = spark
         self._folder = f"{root.rstrip('/')}/auditweave-{uuid.uuid4().hex}"
         self._count = 0

@@ -362,3 +362,34 @@ def test_ledger_filters_reach_the_scan(spark):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(h_document_type,ZP)" in text
     assert "GreaterThanOrEqual(h_document_date,19990801)" in text
+
+
+def test_asset_orders_within_days(spark):
+    from auditweave.plans.controls.orders import maximo_duplicate_po
+
+    def order(number, day):
+        return {
+            "ponum": number,
+            "vendor": "0001",
+            "changeby": "P1",
+            "orderdate": datetime(2024, 1, day),
+            "changedate": datetime(2024, 1, day),
+            "totalcost": Decimal(20000),
+        }
+
+    book = book_of(
+        spark,
+        spend_base=[spend("0001")],
+        maximo_po=[order("M1", 1), order("M2", 1), order("M3", 4), order("M4", 9)],
+        maximo_person=[{"personid": "P1", "displayname": "Pat"}],
+        maximo_company=[{"company": "0001", "name": "One"}],
+    )
+    assert {r.po_number for r in maximo_duplicate_po(book).collect()} == {"M1", "M2"}
+    near = maximo_duplicate_po(book, within=3).collect()
+    assert {(r.po_number, r.group_number) for r in near} == {
+        ("M1", 1),
+        ("M2", 1),
+        ("M3", 1),
+        ("M2", 2),
+        ("M3", 2),
+    }
