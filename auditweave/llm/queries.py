@@ -7,8 +7,9 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from auditweave.llm import packing, token_counts
+from auditweave.llm import decontamination, packing, statements, token_counts
 from auditweave.llm.common import load
 
 
@@ -21,6 +22,20 @@ def op4_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_json())
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_overlaps(
+        load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("item_ids"), ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(load(spark, sf_dir, "documents"), tokenizer_json())
 
@@ -29,9 +44,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op4_mixture_packing,
+        op6_benchmark_decontamination,
         op8_token_counts,
     )
 }
 
 #: DuckDB statements of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_benchmark_decontamination": statements.DECONTAMINATION,
+}
