@@ -48,7 +48,7 @@ def _cutter(state, window: int, chunk: int, end_id: int, keep_ids: bool, names:
         part = TaskContext.get().partitionId()
         have = state.value
         if "cache" not in have:
-            have["cache"] = PieceCache(have["json"], encode, room=300_000)
+            have["cache"] = PieceCache(have["json"], encode)
         end = np.array([end_id], "<u4").tobytes()
         sent: dict[str, int] = {}  # full chunks of a source so far
         open_: dict[str, list] = {}  # pieces of its chunk that is not full yet

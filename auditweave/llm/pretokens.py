@@ -10,6 +10,7 @@ than texts, which makes a cache of pieces pay.
 from __future__ import annotations
 
 import re
+from itertools import islice
 
 # what any of the regular expression engines in use may take for white space
 _DOUBTFUL = r"\s\x00-\x1f\x7f-\xa0\xad ᠎ -‏ -  -⁤　﻿"
@@ -28,11 +29,11 @@ def pieces(text: str) -> list[str]:
 class PieceCache:
     """Pieces with ``value(ids)``; at most ``room`` pieces stay from batch to batch.
 
-    ``frequent`` pieces come first and always stay. Two tables: pieces that begin a text,
-    and pieces after a space.
+    ``frequent`` pieces come first and always stay. When the room is full, the pieces that
+    came last go, as frequent ones tend to come early. Pieces that begin a text are not kept.
     """
 
-    def __init__(self, tokenizer_json: str, value, frequent: dict | None = None, room=400_000):
+    def __init__(self, tokenizer_json: str, value, frequent: dict | None = None, room=1_000_000):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -68,7 +69,8 @@ class PieceCache:
     def _trim(self, later: set[str]) -> None:
         self._first = {}
         if len(self._later) > self._room:
-            self._later = dict(self._frequent)
+            kept = max(len(self._frequent), self._room // 3 * 2)
+            self._later = dict(islice(self._later.items(), kept))
         else:
             for p in later:
                 if len(p) > LONGEST_KEPT and p not in self._frequent:

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditweave.llm import decontamination, packing, statements, token_counts
-from auditweave.llm.common import load
+from auditweave.llm import decontamination, language_id, packing, statements, token_counts
+from auditweave.llm.common import id_remainder, load
 
 
 def tokenizer_json() -> str:
@@ -40,12 +40,21 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(load(spark, sf_dir, "documents"), tokenizer_json())
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = language_id.train(docs, id_remainder("doc_id", 5) != 0)
+    found = language_id.identify(docs, model)
+    held_out = (id_remainder("doc_id", 5) == 0).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "rejected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op4_mixture_packing,
         op6_benchmark_decontamination,
         op8_token_counts,
+        op9_language_id,
     )
 }
 
