@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditweave.llm import decontamination, language_id, packing, statements, token_counts
+from auditweave.llm import decontamination, language_id, packing, simhash, statements, token_counts
 from auditweave.llm.common import id_remainder, load
 
 
@@ -36,6 +36,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(load(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(load(spark, sf_dir, "documents"), tokenizer_json())
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op4_mixture_packing,
         op6_benchmark_decontamination,
+        op7_simhash_near_dedup,
         op8_token_counts,
         op9_language_id,
     )
