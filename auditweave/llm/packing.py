@@ -39,16 +39,13 @@ def _crc(ids: np.ndarray) -> int:
 
 
 def _cutter(state, window: int, chunk: int, end_id: int, keep_ids: bool, names: list[str]):
-    def encode(ids):
-        return np.array(ids, "<u4").tobytes()
-
     def run(batches):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
         have = state.value
         if "cache" not in have:
-            have["cache"] = PieceCache(have["json"], encode)
+            have["cache"] = PieceCache(have["json"], lengths=False)
         end = np.array([end_id], "<u4").tobytes()
         sent: dict[str, int] = {}  # full chunks of a source so far
         open_: dict[str, list] = {}  # pieces of its chunk that is not full yet

@@ -94,7 +94,7 @@ def count_tokens(
     def run(batches):
         state = table.value  # one object per worker, so the cache outlives the task
         if "cache" not in state:
-            state["cache"] = PieceCache(state["json"], len, state["lengths"])
+            state["cache"] = PieceCache(state["json"], True, state["lengths"])
         for batch in batches:
             for i in range(0, batch.num_rows, BATCH):
                 part = batch.slice(i, BATCH)
