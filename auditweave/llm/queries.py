@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditweave.llm import decontamination, language_id, packing, simhash, statements, token_counts
+from auditweave.llm import decontamination, language_id, nearest, packing, simhash, statements, token_counts
 from auditweave.llm.common import id_remainder, load
 
 
@@ -52,6 +52,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score", "rejected")
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = load(spark, sf_dir, "embeddings")
+    return nearest.nearest(table, table.where(F.col("vec_id") % 20 == 0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_simhash_near_dedup,
         op8_token_counts,
         op9_language_id,
+        op10_nearest_neighbours,
     )
 }
 
