@@ -33,8 +33,8 @@ BLOCK_ROWS = 2048
 BLOCKS_AT_ONCE = 16
 #: Neighbours in upper layers (twice as many in the lowest), breadth of building and search.
 LINKS = 16
-BUILD_BREADTH = 64
-SEARCH_BREADTH = 128
+BUILD_BREADTH = 40
+SEARCH_BREADTH = 96
 BATCH = 256
 
 
