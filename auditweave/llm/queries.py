@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditweave.llm import decontamination, language_id, nearest, packing, simhash, statements, token_counts
+from auditweave.llm import decontamination, language_id, language_model, nearest, packing, simhash, statements, token_counts
 from auditweave.llm.common import id_remainder, load
 
 
@@ -22,6 +22,10 @@ def op4_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_json())
 
 
+def op5_maxent_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(load(spark, sf_dir, "documents"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_overlaps(
         load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op4_mixture_packing,
+        op5_maxent_scoring,
         op6_benchmark_decontamination,
         op7_simhash_near_dedup,
         op8_token_counts,
