@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditweave.llm import decontamination, language_id, language_model, nearest, packing, simhash, statements, token_counts
+from auditweave.llm import decontamination, language_id, language_model, nearest, packing, simhash, statements, token_counts, warc
 from auditweave.llm.common import id_remainder, load
 
 
@@ -18,6 +18,13 @@ def tokenizer_json() -> str:
     return Path(path).read_text(encoding="utf-8")
 
 
+def op3_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.write_archive(load(spark, sf_dir, "pages"))
+    return warc.parse(warc.records(*archive)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op4_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), tokenizer_json())
 
@@ -64,6 +71,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op3_warc_archive,
         op4_mixture_packing,
         op5_maxent_scoring,
         op6_benchmark_decontamination,
@@ -76,5 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB statements of the queries that SQL can express.
 ORACLES: dict[str, str] = {
+    "op3_warc_archive": statements.WARC,
     "op6_benchmark_decontamination": statements.DECONTAMINATION,
 }

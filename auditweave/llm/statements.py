@@ -41,3 +41,28 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
     coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
+
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+keyed AS (
+    SELECT page_id, payload, octet_length(encode(payload)) AS payload_bytes,
+        sha1(payload) AS hex, max(page_id) OVER (PARTITION BY payload) AS last_id
+    FROM p
+),
+parts AS (
+    SELECT page_id, list_transform([0, 1, 2, 3],
+        lambda i: CAST('0x' || substr(hex, CAST(1 + 10 * i AS BIGINT), 10) AS BIGINT)) AS v
+    FROM keyed
+),
+digests AS (
+    SELECT page_id, list_aggregate(flatten(list_transform(v, lambda x: list_transform(
+        [35, 30, 25, 20, 15, 10, 5, 0],
+        lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> s) & 31) + 1, 1)
+    ))), 'string_agg', '') AS payload_digest
+    FROM parts
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+    CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = last_id THEN NULL ELSE last_id END AS refers_to
+FROM keyed JOIN digests USING (page_id)
+"""
