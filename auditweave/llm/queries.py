@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditweave.llm import decontamination, language_id, language_model, licenses, nearest, packing, simhash, statements, token_counts, warc
+from auditweave.llm import decontamination, html_text, language_id, language_model, licenses, nearest, packing, simhash, statements, token_counts, warc
 from auditweave.llm.common import id_remainder, load
 
 
@@ -18,6 +18,10 @@ def tokenizer_json() -> str:
     return Path(path).read_text(encoding="utf-8")
 
 
+def op1_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(load(spark, sf_dir, "pages"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(load(spark, sf_dir, "documents"))
 
@@ -75,6 +79,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_html_main_text,
         op2_license_scan,
         op3_warc_archive,
         op4_mixture_packing,
