@@ -26,6 +26,10 @@ from auditweave.llm.decontamination import words_of
 
 #: Notices by which works say their licence, by family.
 TEMPLATES: dict[str, tuple[str, ...]] = {
+    "all-rights-reserved": (
+        "All rights reserved.",
+        "Copyright the authors. All rights reserved.",
+    ),
     "apache": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
