@@ -28,11 +28,11 @@ SAMPLE_PER_LANGUAGE = 3000
 #: One in so many of them calibrates instead of training.
 CALIBRATE_EVERY = 4
 #: Characters handled at once, at most one text beyond.
-BATCH_CHARS = 1_000_000
+BATCH_CHARS = 250_000
 #: A text's cross-entropy is taken to settle within so many characters.
 SETTLED = 200
 #: Rejection begins so many times as far from the mean as any calibration document.
-SLACK = 1.5
+SLACK = 3.0
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _ODD.append(np.uint64(0xD6E8FEB86659FD93))

@@ -76,7 +76,7 @@ class PieceCache:
     """
 
     def __init__(
-        self, tokenizer_json: str, lengths: bool, frequent: dict | None = None, room=500_000
+        self, tokenizer_json: str, lengths: bool, frequent: dict | None = None, room=300_000
     ):
         from tokenizers import Tokenizer
 
