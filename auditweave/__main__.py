@@ -22,6 +22,9 @@ def main() -> None:
     parser.add_argument("--as-of", type=date.fromisoformat, help="look back from this day")
     parser.add_argument("--only", default="", help="comma-separated plan names")
     parser.add_argument("--sort", action="store_true", help="sort reports for reading")
+    parser.add_argument("--lenient", action="store_true", help="skip what lacks its sources")
+    parser.add_argument("--exempt-vendors", default="", help="comma-separated vendor ids")
+    parser.add_argument("--automation-users", default="", help="comma-separated parts of names")
     parser.add_argument("--probe", action="store_true", help="only check the sources")
     args = parser.parse_args()
 
@@ -33,8 +36,16 @@ def main() -> None:
         return
     anchors = Anchors.fixed(args.as_of) if args.as_of else Anchors.now()
     names = [n for n in args.only.split(",") if n] or None
-    report = run_audit(spark, AuditBook(sources, anchors), args.out, names, args.sort)
+    book = AuditBook(
+        sources,
+        anchors,
+        exempt_vendors=tuple(v for v in args.exempt_vendors.split(",") if v),
+        automation_users=tuple(u for u in args.automation_users.split(",") if u),
+    )
+    report = run_audit(spark, book, args.out, names, args.sort, strict=not args.lenient)
     print(json.dumps({"written": report.written, "skipped": report.skipped}, indent=1))
+    if report.skipped:
+        raise SystemExit(1)
 
 
 if __name__ == "__main__":

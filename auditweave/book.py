@@ -11,7 +11,7 @@ from auditweave.sources.catalog import Sources
 from auditweave.sources.shelf import shelf_of
 
 # Plans that several others read. Their readers share one written table, as an audit run
-# would keep them; asked for by name they are plain lazy plans.
+# would keep them; asked for by name they are plans like any other.
 SHARED = (
     "addressable_vendors",
     "ariba_po_invoice",
@@ -27,12 +27,25 @@ SHARED = (
 
 
 class AuditBook:
-    def __init__(self, sources: Sources, anchors: Anchors | None = None, tag: str | None = None):
-        """``tag`` names the sources' content; books with equal tag and anchors share their
-        written tables. Without a tag a book shares with no other."""
+    def __init__(
+        self,
+        sources: Sources,
+        anchors: Anchors | None = None,
+        tag: str | None = None,
+        exempt_vendors: tuple[str, ...] = (),
+        automation_users: tuple[str, ...] = (),
+    ):
+        """``tag`` names the sources' content; books with equal tag, anchors and parameters
+        share their written tables. Without a tag a book shares with no other.
+
+        ``exempt_vendors`` are ids whose repeated order amounts are expected.
+        ``automation_users`` are parts of user names under which software keys invoices.
+        """
         self.src = sources
         self.anchors = anchors or Anchors.now()
-        self._tag = tag or uuid.uuid4().hex
+        self.exempt_vendors = tuple(exempt_vendors)
+        self.automation_users = tuple(automation_users)
+        self._tag = (tag or uuid.uuid4().hex, self.exempt_vendors, self.automation_users)
         self._kept: dict[str, DataFrame] = {}
 
     @property
@@ -44,7 +57,8 @@ class AuditBook:
         return self.anchors.local_today
 
     def plan(self, name: str) -> DataFrame:
-        """The named plan, lazy."""
+        """The named plan. Building it may already run jobs: what a plan reads several times
+        is written first, on every call."""
         from auditweave.plans.registry import PLANS
 
         return PLANS[name](self)

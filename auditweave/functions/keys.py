@@ -59,14 +59,18 @@ def joined_key(*cols: str) -> Column:
     return F.concat(*pieces[1:])
 
 
-def invoice_origin() -> Column:
+def invoice_origin(automation_users: tuple[str, ...] = ()) -> Column:
     """Which upstream system keyed a ledger invoice; NULL when no rule applies.
 
+    ``automation_users`` are parts of the user names of form-filling software.
     Fixed values: document types, text marks and system names of the ledger; the order of
     the rules decides between overlapping ones.
     """
     doc_type = F.col("h_document_type")
     text, user = F.col("h_docheader_text"), F.col("h_usnam_user_name")
+    automatic = F.lit(False)
+    for name in automation_users:
+        automatic = automatic | user.contains(name)
     rules = [
         (doc_type == "Y0", "Ariba"),
         ((doc_type == "VN") & text.contains("TPUE"), "SAP"),
@@ -74,7 +78,7 @@ def invoice_origin() -> Column:
         ((doc_type == "RN") & F.lower(text).contains("cptp"), "Manually Keyed Capital Invoice"),
         (doc_type == "YM", "Maximo"),
         (doc_type == "VS", "PEPs Property Leases"),
-        ((doc_type == "VN") & user.contains("RBTGM0007"), "Smartsheet Robot"),
+        ((doc_type == "VN") & automatic, "Smartsheet Robot"),
         ((doc_type == "VN") & F.lower(user).like("%wf_batch%"), "VIM Docs"),
         (doc_type.isin("FI", "FN", "FR", "ZF"), "Overseas"),
     ]

@@ -5,16 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from auditweave.functions.money import repeated, scale_of
 from auditweave.operators.ordering import join_nullsafe, running_offset
 
 
 def unpivot(rows: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
-    """(keys, feature, value) rows; values as DECIMAL so that equality is exact."""
+    """(keys, feature, value) rows; values as DECIMAL so that equality is exact.
+
+    They get the largest scale of any feature, at least 2, so no place is lost.
+    """
+    places = max([2, *[s for s in (scale_of(rows, name) for name in features) if s is not None]])
+    kind = f"decimal(38,{places})"
     pairs = F.array(
         *[
-            F.struct(
-                F.lit(name).alias("feature"), F.col(name).cast("decimal(38,2)").alias("value")
-            )
+            F.struct(F.lit(name).alias("feature"), F.col(name).cast(kind).alias("value"))
             for name in features
         ]
     )
@@ -37,7 +41,7 @@ def peer_positions(rows: DataFrame, group: str, features: list[str]) -> DataFram
     totals = placed.groupBy(group, "feature").agg(
         F.min("_before").alias("_start"),
         F.sum("at_value").alias("peers"),
-        F.sum(F.col("value") * F.col("at_value")).alias("_sum"),
+        F.sum(repeated(placed, "value", "at_value")).alias("_sum"),
     )
     return (
         join_nullsafe(placed, totals, [group, "feature"])

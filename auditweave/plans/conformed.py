@@ -132,7 +132,7 @@ def sap_invoices(book) -> DataFrame:
         (F.col("h_company_code") == COMPANY)
         & F.col("h_document_type").isin(INVOICE_DOCS)
         & erp_date_between("h_document_date", months_before(day, 24))
-    ).withColumn("system", invoice_origin())
+    ).withColumn("system", invoice_origin(book.automation_users))
     ledger = ledger.filter(F.col("system") != "")
 
     def shaped(vendor: Column) -> list[Column]:

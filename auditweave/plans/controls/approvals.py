@@ -153,14 +153,21 @@ def ariba_deleted_user(book) -> DataFrame:
     raw = src.approvals_raw
     removed = F.col("approved_by_user") == REMOVED_USER
     affected = raw.filter(removed).select("approvable_id").distinct()
+    # lines may be equal in these columns: they are one row with a count
     history = (
         raw.join(affected, "approvable_id", "left_semi")
-        .select("approvable_id", *_HISTORY_ORDER)
-        .distinct()
+        .groupBy("approvable_id", *_HISTORY_ORDER)
+        .agg(F.count("*").alias("_lines"))
     )
     marked = previous_row(
         history, "approvable_id", _HISTORY_ORDER, ["approver", "assigned_date"], "prev_"
     ).filter(removed)
+    # of several equal lines the first has the line before them, the others have an equal one
+    marked = marked.unionByName(
+        marked.filter("_lines > 1").withColumns(
+            {"prev_approver": F.col("approver"), "prev_assigned_date": F.col("assigned_date")}
+        )
+    ).drop("_lines")
     onward = largest_from_here(
         history, "approvable_id", "assigned_date", "approver", "_running"
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from auditweave.functions.anchors import months_before
 from auditweave.functions.envelope import Label, emit
 from auditweave.functions.keys import erp_date, erp_date_between, order_system, strip_zeros
+from auditweave.functions.money import repeated
 from auditweave.operators.groups import label_group, members_of, with_group_number
 from auditweave.operators.ordering import dense_numbers
 from auditweave.operators.proximity import later_day_members, near_date_pairs
@@ -16,22 +17,12 @@ from auditweave.sources.shelf import pin
 
 L2 = "supplier_custom_category_l2"
 
-# Vendors whose repeated order amounts are expected.
-EXEMPT_VENDORS = [
-    "0096023037",
-    "0098106654",
-    "0096012023",
-    "0053406001",
-    "0071043001",
-    "0073499001",
-    "0098102853",
-    "0076017001",
-]
 DUPLICATE_FLOOR = 10000
 SPLIT_THRESHOLD = 50000
 OPEN_AFTER_DAYS = 30
 CLOSED_STATUSES = ["Confirmed", "Received", "Rejected"]
 
+# The report texts below.
 DUPLICATE_PO = Label(
     "Procurement",
     "Duplicate POs having same amount, same vendor raised in a span of 0-3 days",
@@ -66,7 +57,7 @@ def ariba_dupe_po(book, symmetric: bool = False) -> DataFrame:
     po = (
         book.table("ariba_po_invoice")
         .filter(
-            ~F.col("vendor_number").isin(EXEMPT_VENDORS)
+            ~F.col("vendor_number").isin(*book.exempt_vendors)
             & (F.col("po_spend") > DUPLICATE_FLOOR)
         )
         .select(
@@ -137,7 +128,7 @@ def sap_duplicate_po(book) -> DataFrame:
     """Orders of one vendor and gross amount at most 3 days apart, grouped by the smaller
     order number of each pair; an order is in every group it pairs into."""
     po = book.table("sap_po").filter(
-        (F.col("po_amount_gross") > DUPLICATE_FLOOR) & ~F.col("vendor").isin(EXEMPT_VENDORS)
+        (F.col("po_amount_gross") > DUPLICATE_FLOOR) & ~F.col("vendor").isin(*book.exempt_vendors)
     )
     shaped = po.select(
         F.col("purchasing_document_number").alias("po_number"),
@@ -188,7 +179,7 @@ def maximo_duplicate_po(book, within: int | None = None) -> DataFrame:
 
 
 def _split_members(
-    rows: DataFrame, also_by: list[str], documents: Column, reached: Column, amount: str
+    rows: DataFrame, also_by: list[str], several: Column, reached: Column, amount: str
 ) -> DataFrame:
     """Members of vendor-days on which some group of orders reaches the threshold.
 
@@ -197,19 +188,19 @@ def _split_members(
     one pass over the rows gives groups, day totals and numbers.
     """
     keys = ["vendor_number", "po_date"]
-    found = (F.col("_documents") > 1) & (F.col("_reached") >= SPLIT_THRESHOLD)
+    found = F.col("_several") & (F.col("_reached") >= SPLIT_THRESHOLD)
     days = (
         rows.filter(F.col("vendor_number").isNotNull() & F.col("po_date").isNotNull())
         .groupBy(*keys, *also_by)
         .agg(
-            documents.alias("_documents"), reached.alias("_reached"), F.sum(amount).alias("_sum")
+            several.alias("_several"), reached.alias("_reached"), F.sum(amount).alias("_sum")
         )
         .groupBy(*keys)
         .agg(F.count(F.when(found, 1)).alias("_groups"), F.sum("_sum").alias("_sum"))
         .filter("_groups > 0")
         .select(
             *keys,
-            (F.col("_sum") * F.col("_groups")).cast("decimal(38,2)").alias("total_po_amount"),
+            repeated(rows, amount, "_groups", "_sum").alias("total_po_amount"),
         )
     )
     return members_of(rows, with_group_number(days, keys, "group_id"), keys)
@@ -236,7 +227,7 @@ def ariba_split_po(book) -> DataFrame:
         .distinct()
     )
     members = _split_members(
-        po, ["vendor_description", L2], F.count("po_number"), F.sum("po_amount_invoiced"), "po_amount_invoiced"
+        po, ["vendor_description", L2], F.count("po_number") > 1, F.sum("po_amount_invoiced"), "po_amount_invoiced"
     )
     rows = (
         members.select(
@@ -271,7 +262,7 @@ def sap_split_po(book) -> DataFrame:
         .distinct()
     )
     members = _split_members(
-        po, ["vendor_description"], F.count_distinct("po_number"), F.sum("po_amount"), "po_amount"
+        po, ["vendor_description"], F.min("po_number") != F.max("po_number"), F.sum("po_amount"), "po_amount"
     )
     rows = (
         members.select(
@@ -496,10 +487,12 @@ def sap_invoices_not_matching_po(book) -> DataFrame:
         F.sum("invoice_amt").alias("_invoiced")
     )
     ordered = po.groupBy(key, "po_amount_net").agg(F.count("*").alias("_times"))
-    total = (F.col("_invoiced") * F.col("_times")).cast("decimal(38,2)")
+    total = repeated(invoiced, "_invoiced", "_times")
+    # compared side by side: a difference of two wide decimals would give up places
+    net, cent = F.col("po_amount_net"), F.lit("0.01").cast("decimal(3,2)")
     unmatched = (
         ordered.join(invoiced, key)
-        .filter(F.abs(total - F.col("po_amount_net")) > F.lit("0.01").cast("decimal(3,2)"))
+        .filter((total > net + cent) | (total < net - cent))
         .select(key, total.alias("_total"))
     )
     orders = po.select(

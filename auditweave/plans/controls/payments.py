@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from auditweave.functions.anchors import months_before
 from auditweave.functions.envelope import Label, emit
 from auditweave.functions.keys import erp_date_between, order_system
+from auditweave.functions.money import repeated
 from auditweave.operators.groups import label_group, members_of, with_group_number
 from auditweave.operators.ordering import dense_numbers
 from auditweave.operators.proximity import has_other_nearby, on_or_after
@@ -199,7 +200,7 @@ def payment_vs_invoice_amount(book, direction: str = "invoice_over_payment") ->
     )
     paid = payments.groupBy(doc).agg(F.count("*").alias("_payments"))
     totals = invoiced.join(paid, doc).select(
-        doc, (F.col("_sum") * F.col("_payments")).cast("decimal(38,2)").alias("invoice_total")
+        doc, repeated(invoiced, "_sum", "_payments").alias("invoice_total")
     )
     over = {
         "invoice_over_payment": F.col("invoice_total") > F.col("payment_amount"),

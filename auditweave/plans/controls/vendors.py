@@ -27,6 +27,7 @@ HOME_COUNTRY = "AU"
 SIMILAR_EDITS = 5
 SHARED_BANK_FLOOR = 5000
 
+# The report texts below.
 EMPLOYEE_BANK = Label(
     "Payments", "Scan for same bank details between vendors and employees", "Vendor Count"
 )
@@ -53,16 +54,16 @@ REONBOARDED = Label(
 SAME_CONTACT = Label("Vendor Profile", "Suppliers with same financial contact", "Vendor Count")
 NO_BANK = Label(
     "Payments",
-    "check missing bank details for any active GNFR suppliers",
+    "check missing bank details for any active suppliers",
     "Vendor with no bankacounts",
 )
 LOCAL_INCOMPLETE = Label(
-    "Other suggested from FBC report",
+    "Other",
     "Master data completeness for local vendors",
     "Local Vendors Count",
 )
 INTERNATIONAL_INCOMPLETE = Label(
-    "Other suggested from FBC report",
+    "Other",
     "Master data completeness for International vendors",
     "International Vendors Count",
 )
@@ -291,8 +292,9 @@ def approved_vs_blocked(book) -> DataFrame:
             for k in ("bank_key", "address", "abn")
         ],
     ).drop("match_reason")
+    # the other side is written out in pieces, so that is the few blocked vendors
     near = similar_text_pairs(
-        blocked, approved, "blocked_address", "approved_address", SIMILAR_EDITS
+        approved, blocked, "approved_address", "blocked_address", SIMILAR_EDITS
     ).filter(F.col("blocked_address") != F.col("approved_address"))
     similar = blocked.join(near, "blocked_address").join(approved, "approved_address")
 
@@ -457,7 +459,7 @@ def same_financial_contact(book) -> DataFrame:
 
 
 def vendors_no_bank(book) -> DataFrame:
-    """Active vendors without a bank key, per distinct spend amount."""
+    """Active vendors without a bank key, one row per category and bank row."""
     src = book.src
     unbanked = pin(
         _banked(src, _active(), "left")
@@ -466,7 +468,8 @@ def vendors_no_bank(book) -> DataFrame:
         .distinct(),
         "unbanked",
     )
-    rows = unbanked.join(_spend_of(src, unbanked).distinct(), "supplier_id")
+    areas = _spend_of(src, unbanked).select("supplier_id", L2).distinct()
+    rows = unbanked.join(areas, "supplier_id")
     return emit(rows, NO_BANK, "supplier_creation_date", book.today, keep_area=True)
 
 

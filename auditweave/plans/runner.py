@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from auditweave.book import AuditBook
 from auditweave.plans.registry import PLANS, VENDOR_TABLES
@@ -55,34 +57,59 @@ def run_audit(
     out_dir: str,
     names: Iterable[str] | None = None,
     sort: bool = False,
+    strict: bool = True,
 ) -> RunReport:
-    """Write each plan to ``out_dir/<name>`` as Parquet, replacing what is there.
+    """Write each plan to ``out_dir/<name>/<run>`` as Parquet, one folder per run.
 
-    Later plans read the written results of earlier ones. A view or control whose sources
-    cannot be read is skipped and reported; a failing vendor table stops the run, because
-    the tables after it would be built on nothing.
+    Later plans read the written results of earlier ones. A result counts once it is whole:
+    only then does ``out_dir/_current`` name its folder, so that a failing write leaves the last
+    good report as it was, and readers go by ``current_results``. With ``strict`` any failure ends
+    the run. Otherwise a conformed view whose sources cannot be read is skipped, with all that
+    reads it; what is skipped is named without a folder, so no reader takes an old report
+    for a current one.
     """
     wanted = set(PLANS if names is None else names)
     report = RunReport()
+    out_dir, run = out_dir.rstrip("/"), uuid.uuid4().hex
     for name in PLANS:
         if name not in wanted:
             continue
-        path = f"{out_dir.rstrip('/')}/{name}"
+        path = f"{out_dir}/{name}/{run}"
         try:
             df = book.plan(name)
             if sort and name in PRESENTATION_ORDER:
                 df = df.orderBy(*[F.asc(c) for c in PRESENTATION_ORDER[name]])
-            df.write.mode("overwrite").parquet(path)
-        except Exception as error:
-            if name in VENDOR_TABLES:
+            df.write.parquet(path)
+        except (AttributeError, AnalysisException) as error:  # a source that is not there
+            if strict or name in VENDOR_TABLES:
                 raise
             report.skipped[name] = f"{type(error).__name__}: {str(error).splitlines()[0]}"
+            _note(spark, out_dir, run, name, None)
             continue
         book.store(name, spark.read.schema(df.schema).parquet(path))
+        _note(spark, out_dir, run, name, path)
         report.written[name] = path
     return report
 
 
+_NOTE = "name string, path string, run string, noted_at timestamp"
+
+
+def _note(spark: SparkSession, out_dir: str, run: str, name: str, path: str | None) -> None:
+    """One row more in the list of results; a file of its own, so nothing is rewritten."""
+    row = spark.createDataFrame([(name, path, run)], "name string, path string, run string")
+    row.withColumn("noted_at", F.current_timestamp()).write.mode("append").parquet(
+        f"{out_dir}/_current"
+    )
+
+
+def current_results(spark: SparkSession, out_dir: str) -> dict[str, str | None]:
+    """Folder of each plan's last whole result; None if the last run skipped it."""
+    notes = spark.read.schema(_NOTE).parquet(f"{out_dir.rstrip('/')}/_current")
+    latest = notes.groupBy("name").agg(F.max_by(F.struct("path"), "noted_at").alias("last"))
+    return {r.name: r.last.path for r in latest.collect()}
+
+
 def create_views(book: AuditBook, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
     """Register plans as temporary views of the same name, replacing earlier ones."""
     views = {name: book.plan(name) for name in (PLANS if names is None else names)}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from auditweave.functions.anchors import months_before
 from auditweave.functions.keys import full_address_blank_nulls
+from auditweave.functions.money import scale_of
 from auditweave.operators.features import peer_positions, peer_summary, unpivot
 from auditweave.operators.ordering import join_nullsafe
 from auditweave.operators.ranking import first_per_key
@@ -244,8 +245,11 @@ def vendor_windowed_features(book) -> DataFrame:
     rows = book.table("base_transaction").filter(F.col("vendor_number").isNotNull())
     labels = list(WINDOWS)
 
-    def total(col: str) -> Column:
-        return F.coalesce(F.sum(col), F.lit(0)).cast("decimal(38,2)")
+    def money(value: Column, like: str) -> Column:
+        """0 for nothing, with the places that the source column has."""
+        places = scale_of(rows, like)
+        kind = "double" if places is None else f"decimal(38,{places})"
+        return F.coalesce(value.cast(kind), F.lit(0).cast(kind))
 
     def hits(flag: str) -> Column:
         return F.count(F.when(F.col(flag), 1))
@@ -260,9 +264,9 @@ def vendor_windowed_features(book) -> DataFrame:
             for w, months in WINDOWS.items()
             for inside in [_in_window("po_date", today, months)]
             for measure in (
-                F.coalesce(F.sum(F.when(inside, F.col("po_spend"))), F.lit(0))
-                .cast("decimal(38,2)")
-                .alias(f"total_po_spend_{w}"),
+                money(F.sum(F.when(inside, F.col("po_spend"))), "po_spend").alias(
+                    f"total_po_spend_{w}"
+                ),
                 F.count(F.when(inside, F.col("po_number"))).alias(f"po_count_{w}"),
             )
         ]
@@ -283,8 +287,10 @@ def vendor_windowed_features(book) -> DataFrame:
             measure
             for w in labels
             for measure in (
-                total(f"_inv_{w}").alias(f"total_invoice_spend_{w}"),
-                total(f"_pay_{w}").alias(f"total_payment_amount_{w}"),
+                money(F.sum(f"_inv_{w}"), "invoice_amount_excl_tax").alias(
+                    f"total_invoice_spend_{w}"
+                ),
+                money(F.sum(f"_pay_{w}"), "payment_amount").alias(f"total_payment_amount_{w}"),
                 F.count(F.when(known & F.col(f"_in_{w}"), 1)).alias(f"invoice_count_{w}"),
                 F.count(F.when(known & F.col(f"_paid_{w}"), 1)).alias(f"paid_invoice_count_{w}"),
             )
@@ -302,7 +308,11 @@ def vendor_windowed_features(book) -> DataFrame:
         month_part, "vendor_number", "left"
     )
     return joined.select(
-        "vendor_number", *[F.coalesce(F.col(f), F.lit(0)).alias(f) for f in FEATURES]
+        "vendor_number",
+        *[
+            F.coalesce(F.col(f), F.lit(0).cast(joined.schema[f].dataType)).alias(f)
+            for f in FEATURES
+        ],
     )
 
 

@@ -10,8 +10,24 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    IntegralType,
+    NumericType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
-from auditweave.sources.schemas import LAYOUTS
+from auditweave.sources.schemas import LAYOUTS, schema_of
+
+# Formats whose columns get their types from the layout.
+UNTYPED = {"csv", "json"}
 
 
 class Sources:
@@ -23,14 +39,35 @@ class Sources:
         self._frames: dict[str, DataFrame] = {}
 
     @classmethod
-    def from_paths(cls, spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet"):
-        """Bind each source to a directory of files (``fmt`` is any Spark file format)."""
-        return cls(
-            {
-                name: (lambda path=path: spark.read.format(fmt).load(path))
-                for name, path in paths.items()
-            }
-        )
+    def from_paths(
+        cls,
+        spark: SparkSession,
+        paths: Mapping[str, str],
+        fmt: str = "parquet",
+        renames: Mapping[str, Mapping[str, str]] | None = None,
+        **options: str,
+    ):
+        """Bind each source to a directory of files (``fmt`` is any Spark file format).
+
+        Formats without types of their own (csv, json) are read by the layout, under the
+        names that ``renames[source]`` maps to the layout's; then no type is guessed and no
+        leading zero is lost. Other formats bring their types, which must fit the layout.
+        """
+        renames = renames or {}
+
+        def read(name: str, path: str) -> DataFrame:
+            reader = spark.read.format(fmt).options(**options)
+            names = dict(renames.get(name, {}))
+            if fmt in UNTYPED:
+                theirs = {ours: other for other, ours in names.items()}
+                layout = StructType(
+                    [StructField(theirs.get(f.name, f.name), f.dataType) for f in schema_of(name)]
+                )
+                header = {"header": "true", "enforceSchema": "false"} if fmt == "csv" else {}
+                reader = spark.read.format(fmt).options(**(header | options)).schema(layout)
+            return reader.load(path).withColumnsRenamed(names)
+
+        return cls({name: (lambda n=name, p=path: read(n, p)) for name, path in paths.items()})
 
     @classmethod
     def from_tables(
@@ -61,25 +98,32 @@ class Sources:
             raise AttributeError(name)
         if name not in self._frames:
             try:
-                self._frames[name] = self._readers[name]()
+                read = self._readers[name]
             except KeyError:
                 raise AttributeError(f"source {name!r} is not bound") from None
+            df = read()
+            if wrong := misfits(name, df):
+                raise TypeError(f"source {name!r} does not fit its layout: {'; '.join(wrong)}")
+            self._frames[name] = df
         return self._frames[name]
 
     def names(self) -> list[str]:
         return sorted(self._readers)
 
     def probe(self) -> dict[str, str]:
-        """Check every bound source: 'ok', 'empty', 'missing columns …' or the read error."""
+        """Check every bound source: 'ok', 'empty', 'missing columns …', 'wrong types …' or
+        the read error."""
         report = {}
         for name in self.names():
             try:
-                df = getattr(self, name)
-                wanted = [part.split()[0] for part in _split_layout(LAYOUTS[name])]
+                df = self._readers[name]()
+                wanted = [field.name for field in schema_of(name)]
                 present = {c.lower() for c in df.columns}
                 missing = [c for c in wanted if c not in present]
                 if missing:
                     report[name] = "missing columns: " + ", ".join(missing)
+                elif wrong := misfits(name, df):
+                    report[name] = "wrong types: " + "; ".join(wrong)
                 else:
                     report[name] = "ok" if df.select(F.lit(1)).head(1) else "empty"
             except Exception as error:  # the report is the product of this method
@@ -87,12 +131,33 @@ class Sources:
         return report
 
 
-def _split_layout(ddl: str) -> list[str]:
-    """Column declarations of a layout; commas inside DECIMAL(p,s) do not separate."""
-    parts, depth, start = [], 0, 0
-    for i, ch in enumerate(ddl):
-        depth += (ch == "(") - (ch == ")")
-        if ch == "," and depth == 0:
-            parts.append(ddl[start:i])
-            start = i + 1
-    return [p for p in [*parts, ddl[start:]] if p.strip()]
+def misfits(name: str, df: DataFrame) -> list[str]:
+    """Columns of ``df`` whose type the layout of the source cannot take without loss."""
+    wanted = {field.name: field.dataType for field in schema_of(name)}
+    found = []
+    for field in df.schema:
+        kind = wanted.get(field.name.lower())
+        if kind is not None and not _fits(field.dataType, kind):
+            found.append(
+                f"{field.name} is {field.dataType.simpleString()}, not {kind.simpleString()}"
+            )
+    return found
+
+
+def _fits(actual: DataType, wanted: DataType) -> bool:
+    if actual.simpleString() == "void":
+        return True
+    if isinstance(wanted, StringType):
+        return isinstance(actual, StringType)
+    if isinstance(wanted, DecimalType):
+        # the digits before the point are not checked: extracts declare them far too wide
+        return isinstance(actual, IntegralType) or (
+            isinstance(actual, DecimalType) and actual.scale <= wanted.scale
+        )
+    if isinstance(wanted, IntegralType):
+        return isinstance(actual, IntegralType)
+    if isinstance(wanted, DoubleType):
+        return isinstance(actual, NumericType)
+    if isinstance(wanted, (TimestampType, TimestampNTZType)):
+        return isinstance(actual, (TimestampType, TimestampNTZType, DateType))
+    return isinstance(actual, type(wanted))

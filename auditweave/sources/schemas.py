@@ -1,14 +1,15 @@
 """Column layout of the source extracts the audit plans read.
 
-Each layout is a DDL string; money is DECIMAL(38,2) unless the binding narrows it.
-Identifiers stay strings: vendor ids carry significant leading zeros.
+Each layout is a DDL string. Money has up to nine places; sums of it keep them all, as they
+need no more than 38 digits. Identifiers stay strings: vendor ids carry significant leading
+zeros.
 """
 
 from __future__ import annotations
 
 from pyspark.sql.types import StructType
 
-MONEY = "DECIMAL(38,2)"
+MONEY = "DECIMAL(27,9)"
 
 LAYOUTS: dict[str, str] = {
     # spend cube: which vendors are in scope, and under which category

@@ -3,7 +3,8 @@
 A plan that is read several times, or whose rows must not be drawn twice, is written once
 as Parquet and read back. That cuts its lineage, survives lost executors and gives the
 planner true sizes. The folder lies under ``spark.checkpoint.dir``, which a cluster points
-at shared storage. Only a local session that names none gets a folder of its own.
+at shared storage; a local session without one gets a folder of its own. Tables stay until
+the folder is emptied: storage that Spark writes to is the operator's to clean, by folder.
 """
 
 from __future__ import annotations
@@ -16,21 +17,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 class Shelf:
     def __init__(self, spark: SparkSession):
-        context = spark.sparkContext
-        root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-        if not root and not context.master.startswith("local"):
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        local = spark.conf.get("spark.master", "").startswith("local")
+        if not root and not local:
             raise ValueError("set spark.checkpoint.dir to storage all executors share")
         root = root or tempfile.mkdtemp(prefix="auditweave-")
         self._spark = spark
-        self._folder = f"{root.rstrip('/')}/auditweave-{uuid.uuid4().hex}"
+        self.folder = f"{root.rstrip('/')}/auditweave-{uuid.uuid4().hex}"
         self._count = 0
         self._kept: dict[tuple, DataFrame] = {}
-        self._delete_at_exit()
 
     def put(self, df: DataFrame, name: str = "table") -> DataFrame:
         """Write ``df`` and return the written table."""
         self._count += 1
-        path = f"{self._folder}/{self._count:05d}-{name}"
+        path = f"{self.folder}/{self._count:05d}-{name}"
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
@@ -40,19 +40,13 @@ class Shelf:
             self._kept[key] = self.put(build(), str(key[-1]))
         return self._kept[key]
 
-    def _delete_at_exit(self) -> None:
-        jvm = self._spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self._folder)
-        conf = self._spark._jsc.hadoopConfiguration()
-        path.getFileSystem(conf).deleteOnExit(path)
-
 
 _SHELVES: dict[str, Shelf] = {}
 
 
 def shelf_of(spark: SparkSession) -> Shelf:
     """One shelf per Spark application."""
-    app = spark.sparkContext.applicationId
+    app = spark.conf.get("spark.app.id")
     if app not in _SHELVES:
         _SHELVES[app] = Shelf(spark)
     return _SHELVES[app]

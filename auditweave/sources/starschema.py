@@ -2,8 +2,10 @@
 
 Every source is one SELECT over the sample tables or over sources defined above it, in SQL
 that Spark and DuckDB both accept, so the same text feeds the Spark plans and the oracle.
-Names in braces are input relations. All rows of the inputs take part; the modulo cases
-only vary the values so that every audit rule meets rows on both sides of its test.
+Names in braces are input relations. The modulo cases vary the values so that every audit
+rule meets rows on both sides of its test. Some relations leave rows out on purpose, so that
+joins meet keys without a partner: payments (of every fifth part), bank accounts, contacts and
+employees. One-time vendors are made from some orders only.
 """
 
 from __future__ import annotations
@@ -20,6 +22,9 @@ from auditweave.sources.schemas import LAYOUTS
 from auditweave.sources.shelf import shelf_of
 
 AS_OF = date(2001, 8, 1)
+# Invented values of the run's parameters.
+EXEMPT_VENDORS = ("0000000007", "0000000011")
+AUTOMATION_USER = "ROBOT01"
 
 # One-time vendors: each of these orders is billed by a vendor that exists only for it.
 _ONE_TIME = """
@@ -127,7 +132,7 @@ SELECT CASE WHEN l_partkey%50=49 THEN '2000' ELSE '1000' END AS h_company_code,
  CASE l_partkey%12 WHEN 0 THEN 'Y0' WHEN 1 THEN 'VN' WHEN 2 THEN 'RN' WHEN 3 THEN 'YM' WHEN 4 THEN 'VS' WHEN 5 THEN 'FI' WHEN 6 THEN 'FN' WHEN 7 THEN 'FR' WHEN 8 THEN 'ZF' WHEN 9 THEN 'PX' WHEN 10 THEN 'PY' ELSE 'KR' END AS h_document_type,
  'D'||line_key AS h_document_number, 'INV'||line_key AS h_reference,
  CASE WHEN l_partkey%24=1 THEN 'TPUE load' WHEN l_partkey%24=2 THEN 'Ariba_ASN feed' WHEN l_partkey%24=14 THEN 'CPTP capital' WHEN l_partkey%24=11 THEN 'tms freight' ELSE 'part '||CAST(l_partkey AS STRING) END AS h_docheader_text,
- CASE WHEN l_partkey%48=13 THEN 'RBTGM0007' WHEN l_partkey%48=37 THEN 'WF_BATCH' ELSE 'USER'||CAST(l_partkey%4 AS STRING) END AS h_usnam_user_name,
+ CASE WHEN l_partkey%48=13 THEN 'ROBOT01' WHEN l_partkey%48=37 THEN 'WF_BATCH' ELSE 'USER'||CAST(l_partkey%4 AS STRING) END AS h_usnam_user_name,
  replace(CAST(invoice_date AS STRING),'-','') AS h_document_date, invoice_date+CAST(l_partkey%2 AS INT) AS h_posting_date,
  CASE WHEN l_partkey%20=3 THEN NULL WHEN l_partkey%20=13 THEN '' ELSE vendor END AS d_vendor, '21'||CAST(l_suppkey%10 AS STRING) AS d_gl_account, '001' AS d_buzei_line_item,
  'PO'||po_key AS d_purchasing_doc, '00'||CAST(10+l_partkey%7 AS STRING) AS d_cost_center, CASE WHEN l_partkey%5<>4 THEN 'CL'||po_key ELSE '' END AS d_clrng_doc, 'D'||line_key AS d_document_number,
@@ -171,6 +176,10 @@ SELECT approvable_id, real_user, approver, CAST(ordered_date+CAST(k AS INT) AS T
  CAST(ordered_date+CAST(k-1 AS INT) AS TIMESTAMP) AS assigned_date, 'EMPLOYEE '||CAST(o_custkey AS STRING) AS requester_user,
  CASE WHEN o_orderkey%9=4 AND k=2 THEN 'ADMIN' ELSE '' END AS approver_deleted_by
 FROM {approval_event}
+UNION ALL
+SELECT approvable_id, real_user, approver, CAST(ordered_date+CAST(k+1 AS INT) AS TIMESTAMP), 'Unclassified', 'rule 2',
+ CAST(ordered_date+CAST(k-1 AS INT) AS TIMESTAMP), 'EMPLOYEE '||CAST(o_custkey AS STRING), 'ADMIN'
+FROM {approval_event} WHERE o_orderkey%9=4 AND k=2 AND o_orderkey%2=0
 """,
     "doa": """
 SELECT CASE WHEN c_custkey%10=9 THEN ' Employee '||CAST(c_custkey AS STRING)||' ' WHEN c_custkey%25=24 THEN 'Employee '||CAST(c_custkey-1 AS STRING) ELSE 'Employee '||CAST(c_custkey AS STRING) END AS employee_name,
@@ -278,4 +287,10 @@ def bind(spark: SparkSession, sf_dir: str) -> Sources:
 
 def open_book(spark: SparkSession, sf_dir: str) -> AuditBook:
     """The audit book of the sample tables, as of the day they end."""
-    return AuditBook(bind(spark, sf_dir), Anchors.fixed(AS_OF), tag=sf_dir)
+    return AuditBook(
+        bind(spark, sf_dir),
+        Anchors.fixed(AS_OF),
+        tag=sf_dir,
+        exempt_vendors=EXEMPT_VENDORS,
+        automation_users=(AUTOMATION_USER,),
+    )

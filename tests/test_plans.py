@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from auditweave import Anchors, AuditBook, Sources
 from auditweave.functions.envelope import FLAGS, time_flags
 from auditweave.functions.keys import erp_date, erp_date_between, full_address, joined_key, strip_zeros
-from auditweave.plans.runner import create_views, run_audit
+from auditweave.plans.runner import create_views, current_results, run_audit
 from auditweave.plans.vendor_tables import FEATURES, vendor_attributes, vendor_features
 from auditweave.sources.schemas import LAYOUTS, schema_of
 from auditweave.sources.shelf import shelf_of
@@ -343,10 +343,187 @@ def test_run_audit_replaces_results_and_skips_unreadable(spark, tmp_path):
     assert stored.count() == book.plan("base_payment").count()
 
     bare = AuditBook(Sources.from_frames({}), Anchors.fixed(TODAY))
-    report = run_audit(spark, bare, str(tmp_path / "bare"), ["sap_po", "split_po"])
-    assert set(report.skipped) == {"sap_po", "split_po"}
     with pytest.raises(AttributeError):
-        run_audit(spark, bare, str(tmp_path / "bare"), ["po_line_level"])
+        run_audit(spark, bare, str(tmp_path), ["base_payment"])
+    assert current_results(spark, str(tmp_path))["base_payment"] == report.written["base_payment"]
+    report = run_audit(spark, bare, str(tmp_path), ["base_payment", "split_po"], strict=False)
+    assert set(report.skipped) == {"base_payment", "split_po"}
+    assert current_results(spark, str(tmp_path))["base_payment"] is None
+    with pytest.raises(AttributeError):
+        run_audit(spark, bare, str(tmp_path / "bare"), ["po_line_level"], strict=False)
+
+
+def test_a_failing_plan_is_not_passed_over(spark, tmp_path):
+    book = open_book(spark, SF_DIR)
+    names = ["base_payment"]
+    good = run_audit(spark, book, str(tmp_path), names).written["base_payment"]
+    broken = open_book(spark, SF_DIR)
+    fail = F.raise_error(F.lit("disk gone")).cast("string")
+    broken.plan = lambda name: AuditBook.plan(broken, name).withColumn("x", fail)
+    for strict in (True, False):
+        with pytest.raises(Exception, match="disk gone"):
+            run_audit(spark, broken, str(tmp_path), names, strict=strict)
+    assert current_results(spark, str(tmp_path)) == {"base_payment": good}
+    assert spark.read.parquet(good).count() > 0
+
+
+def test_text_files_are_read_by_the_layout(spark, tmp_path):
+    path = tmp_path / "bank"
+    path.mkdir()
+    (path / "a.csv").write_text(
+        "LIFNR,bank_country_key,bank_keys,bank_account_number,account_holder_name\n"
+        "0000012,AU,062100,0012,Ann\n"
+    )
+    renames = {"vendor_bank": {"LIFNR": "vendor"}}
+    sources = Sources.from_paths(spark, {"vendor_bank": str(path)}, "csv", renames)
+    assert sources.probe() == {"vendor_bank": "ok"}
+    row = sources.vendor_bank.first()
+    assert (row.vendor, row.bank_keys, row.bank_account_number) == ("0000012", "062100", "0012")
+
+
+def test_types_that_lose_digits_are_refused(spark):
+    wide = spark.createDataFrame([(Decimal("1.5"),)], "amount decimal(38,12)")
+    ids = spark.createDataFrame([(12,)], "vendor int")
+    sources = Sources.from_frames({"spend_base": wide, "vendor_bank": ids})
+    for name in ("spend_base", "vendor_bank"):
+        with pytest.raises(TypeError, match="does not fit"):
+            getattr(sources, name)
+    full = spark.createDataFrame([], schema_of("vendor_bank")).withColumn("vendor", F.lit(1))
+    report = Sources.from_frames({"vendor_bank": full}).probe()
+    assert report["vendor_bank"] == "wrong types: vendor is int, not string"
+
+
+def _invoice(amount, doc="PO1"):
+    return {
+        "h_company_code": "1000",
+        "h_document_type": "YM",
+        "h_document_number": "D1",
+        "h_reference": f"I{amount}",
+        "h_document_date": "20240301",
+        "h_posting_date": date(2024, 3, 1),
+        "d_vendor": "0001",
+        "d_purchasing_doc": doc,
+        "d_clrng_doc": "C1",
+        "d_amount_in_lc": Decimal(amount),
+    }
+
+
+def _order(amount):
+    return {
+        "purchasing_document_number": "PO1",
+        "vendor": "0001",
+        "purchasing_document_date": date(2024, 2, 1),
+        "gross_order_value": Decimal(amount),
+        "net_order_value": Decimal(amount),
+        "purchasing_organization": "1000",
+    }
+
+
+@pytest.mark.parametrize("amount, found", [("100.014", 1), ("100.01", 0), ("100.010000001", 1)])
+def test_gap_over_a_cent_is_measured_in_full(spark, amount, found):
+    book = book_of(
+        spark,
+        spend_base=[spend("0001")],
+        ledger=[_invoice(amount)],
+        po_schedule_line=[_order("100")],
+    )
+    assert book.plan("sap_invoices_not_matching_po").count() == found
+
+
+@pytest.mark.parametrize("paid, found", [("100.004", 1), ("100.0041", 0), ("100.005", 0)])
+def test_payment_and_invoice_compare_in_full(spark, paid, found):
+    book = book_of(
+        spark,
+        spend_base=[spend("0001")],
+        ledger=[_invoice("100.0041"), payment("0001", "C1", paid)],
+    )
+    assert book.plan("payment_vs_invoice_amount").count() == found
+
+
+def test_features_keep_places(spark):
+    vendors = [{"vendor": v, "vendor_description": v, "country": "AU"} for v in ("0001", "0002")]
+    orders = [
+        {
+            "po_order_id": f"PO{v}",
+            "req_requisition_id": "R",
+            "ordered_date": date(2024, 3, 1),
+            "supplier_erp_id": v,
+            "sum_po_spend": Decimal(amount),
+        }
+        for v, amount in (("0001", "5.001"), ("0002", "5.002"))
+    ]
+    book = book_of(
+        spark, dim_vendor=vendors, spend_base=[spend("0001"), spend("0002")], ariba_po_line=orders
+    )
+    ranks = {r.vendor_number: r.peer_pct_rank_total_po_spend_3m for r in vendor_features(book).collect()}
+    assert ranks == {"0001": 0.0, "0002": 1.0}
+
+
+def test_equal_lines_of_a_removed_user_give_both_rows(spark):
+    def event(step, approver, by, action=1):
+        return {
+            "approvable_id": "PR1",
+            "real_user": approver,
+            "approver": approver,
+            "approved_by_user": by,
+            "assigned_date": datetime(2024, 1, step, 9),
+            "action_date": datetime(2024, 1, step, 10 + action),
+        }
+
+    order = {
+        "po_order_id": "PO1",
+        "req_requisition_id": "PR1",
+        "ordered_date": date(2024, 1, 5),
+        "supplier_erp_id": "0001",
+        "sum_po_spend": Decimal(500),
+        "sum_amount_invoiced": Decimal(500),
+    }
+    book = book_of(
+        spark,
+        spend_base=[spend("0001")],
+        ariba_po_line=[order],
+        approvals_raw=[
+            event(1, "Mia", "Mia"),
+            event(2, "Ann", "Unclassified"),
+            event(2, "Ann", "Unclassified", 2),
+            event(2, "Ann", "Unclassified", 3),
+        ],
+    )
+    rows = book.plan("ariba_deleted_user").collect()
+    assert {(r.deleted_user, r.prev_approver) for r in rows} == {("Ann", "Mia"), ("Ann", "Ann")}
+
+
+def test_exempt_vendors_are_a_parameter(spark):
+    def order(number):
+        return {
+            "po_order_id": number,
+            "req_requisition_id": "R",
+            "ordered_date": date(2024, 1, 3),
+            "supplier_erp_id": "0001",
+            "sum_po_spend": Decimal(20000),
+        }
+
+    book = book_of(spark, spend_base=[spend("0001")], ariba_po_line=[order("PO1"), order("PO2")])
+    assert book.plan("ariba_dupe_po").count() == 2
+    book.exempt_vendors = ("0001",)
+    assert book.plan("ariba_dupe_po").count() == 0
+
+
+def test_vendor_without_bank_is_one_row_per_category(spark):
+    vendor = {"vendor": "0001", "vendor_status": "A", "date_first_created": TODAY}
+    book = book_of(
+        spark,
+        dim_vendor=[vendor],
+        spend_base=[spend("0001", amount=Decimal(i)) for i in range(5)]
+        + [spend("0001", category_l2="Travel")],
+    )
+    rows = book.plan("vendors_no_bank")
+    assert "amount" not in rows.columns and rows.count() == 2
+
+
+def test_runs_of_invoices_count_without_expanding(spark):
+    text = open_book(spark, SF_DIR).plan("sap_dupe_invoices")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in text
 
 
 def test_views_are_replaceable(spark):
