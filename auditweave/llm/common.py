@@ -23,7 +23,19 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return flat.select(*[flat[f"c{df.columns.index(n)}"].alias(n) for n in names])
 
 
+#: Rows that a Python worker gets at once, where the session leaves Spark's default.
+BATCH_ROWS = "1000"
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Whole texts are long rows: Spark's default number of them is too much at once."""
+    if spark.conf.get(_BATCH_KEY, "10000") == "10000":
+        spark.conf.set(_BATCH_KEY, BATCH_ROWS)
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    short_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -31,7 +31,7 @@ from auditweave.sources.shelf import pin
 
 WINDOW = 2048
 CHUNK = 256
-BATCH = 256
+BATCH = 64
 
 
 def _crc(ids: np.ndarray) -> int:

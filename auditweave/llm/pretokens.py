@@ -10,6 +10,7 @@ than texts, which makes a cache of pieces pay.
 from __future__ import annotations
 
 import json
+import os
 import re
 from itertools import islice
 
@@ -76,8 +77,10 @@ class PieceCache:
     """
 
     def __init__(
-        self, tokenizer_json: str, lengths: bool, frequent: dict | None = None, room=300_000
+        self, tokenizer_json: str, lengths: bool, frequent: dict | None = None, room=220_000
     ):
+        # threads of its own would give every worker as many memory pools
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(tokenizer_json)

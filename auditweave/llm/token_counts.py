@@ -21,7 +21,7 @@ from auditweave.llm.pretokens import LONGEST_KEPT, PieceCache, pieces
 #: Pieces in the broadcast table, and in each task's summary.
 TABLE_SIZE = 32_768
 #: Texts encoded at once.
-BATCH = 256
+BATCH = 64
 _MERGERS = 16
 
 

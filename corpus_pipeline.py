@@ -14,25 +14,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from auditweave.llm import decontamination, language_id, packing, simhash
-from auditweave.llm.common import id_remainder, load
+from auditweave.llm.common import id_remainder, load, short_batches
 from auditweave.llm.queries import tokenizer_json
 from auditweave.sources.shelf import pin
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     model = language_id.train(docs, id_remainder("doc_id", 5) != 0)
     return language_id.keep_identified(docs, model)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     return simhash.keep_one(docs)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     return decontamination.decontaminate(docs, load(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     return packing.pack(docs, tokenizer_json())
 
 
