@@ -19,6 +19,9 @@ SHARED = (
     "sap_invoices",
     "sap_po",
     "maximo_po",
+    "ordered_requisitions",
+    "first_approvers",
+    "final_approver",
     "base_transaction",
     "vendor_windowed_features",
     "vendor_attributes",

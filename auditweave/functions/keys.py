@@ -22,16 +22,18 @@ def erp_date_between(col: str, low: Column, high: Column | None = None) -> Colum
     The text is also compared as text, which orders the same way: that part reaches the
     scan as a pushed filter and skips row groups, the parsed part then drops non-dates.
     """
-    def text(bound: Column) -> Column:
-        return F.date_format(bound, "yyyyMMdd")
-
-    day, raw = erp_date(col), F.col(col)
-    inside = (raw >= text(low)) & (day >= low)
+    day = erp_date(col)
+    inside = erp_text_from(col, low) & (day >= low)
     if high is not None:
-        inside = inside & (raw <= text(high)) & (day <= high)
+        inside = inside & (F.col(col) <= F.date_format(high, "yyyyMMdd")) & (day <= high)
     return inside
 
 
+def erp_text_from(col: str, low: Column) -> Column:
+    """The part of ``erp_date_between`` that a scan can take, also inside an OR."""
+    return F.col(col) >= F.date_format(low, "yyyyMMdd")
+
+
 ADDRESS_PARTS = ["building_number", "street", "city", "postal_code", "state", "country"]
 
 

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 
 def near_date_pairs(
-    rows: DataFrame, keys: list[str], row_id: str, day: str, within: int
+    rows: DataFrame, keys: list[str], row_id: str, day: str, within: int, detail: bool = False
 ) -> DataFrame:
     """Distinct (low, high) id pairs with equal ``keys``, low < high and days <= ``within`` apart.
 
+    ``detail`` gives the keys they agree in and the day of ``low`` as well, as ``low_day``.
+
     Days are cut into buckets and one side is listed in every bucket its range touches (two
     at most), so the join is an equi-join on keys and bucket and compares neighbours only.
     """
@@ -21,6 +23,7 @@ def near_date_pairs(
     left = points.select(
         *keys,
         F.col(row_id).alias("low"),
+        F.col(day).alias("low_day"),
         number.alias("_left_day"),
         F.floor(number / width).cast("int").alias("_bucket"),
     )
@@ -39,7 +42,7 @@ def near_date_pairs(
     return (
         left.join(right, [*keys, "_bucket"])
         .filter((F.col("low") < F.col("high")) & close)
-        .select("low", "high")
+        .select(*(keys if detail else []), "low", *(["low_day"] if detail else []), "high")
         .distinct()
     )
 

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditweave.functions.anchors import months_before
-from auditweave.functions.keys import erp_date, erp_date_between, invoice_origin, strip_zeros
+from auditweave.functions.keys import erp_date, erp_date_between, erp_text_from, invoice_origin, strip_zeros
 from auditweave.operators.ranking import first_per_key, ranked_columns
 from auditweave.plans.scope import COMPANY, in_scope_spend, scope_columns
+from auditweave.sources.shelf import pin
 
 L2 = "supplier_custom_category_l2"
 
@@ -17,6 +18,8 @@ PAYMENT_DOCS = ["ZP"]
 INVOICE_DOCS = ["Y0", "VN", "RN", "YM", "VS", "FI", "FN", "FR", "ZF"]
 UNCLEARED = "00000000"
 
+_LINE_KEY = ["h_document_number", "d_buzei_line_item"]
+
 
 def ariba_po_invoice(book) -> DataFrame:
     """Orders of the last 24 months with their invoices.
@@ -81,12 +84,40 @@ def ariba_po_invoice(book) -> DataFrame:
     )
 
 
+def _paid_by_vendor(start: Column) -> Column:
+    return erp_date_between("h_document_date", start)
+
+
+def _paid_by_document(start: Column) -> Column:
+    return (F.col("d_clearing") != UNCLEARED) & (F.col("h_posting_date") > start)
+
+
+def payment_lines(book) -> DataFrame:
+    """Ledger lines that either branch of ``base_payment`` needs, by one scan."""
+    start = months_before(book.today, 24)
+    return book.src.ledger.filter(
+        F.col("h_document_type").isin(PAYMENT_DOCS)
+        & (F.col("h_company_code") == COMPANY)
+        & (_paid_by_vendor(start) | _paid_by_document(start))
+        # implied by the line above, but all of it can go to the scan
+        & (erp_text_from("h_document_date", start) | _paid_by_document(start))
+    ).select(
+        *_LINE_KEY,
+        "h_document_date",
+        "h_posting_date",
+        "d_vendor",
+        "d_gl_account",
+        "d_amount_in_lc",
+        "d_shkzg_debit_credit_ind",
+        "d_clearing",
+        "d_clrng_doc",
+    )
+
+
 def base_payment(book) -> DataFrame:
     """Signed payment amounts per vendor, payment date, account and clearing document."""
-    src, day = book.src, book.today
-    ledger = src.ledger.filter(
-        F.col("h_document_type").isin(PAYMENT_DOCS) & (F.col("h_company_code") == COMPANY)
-    )
+    src, start = book.src, months_before(book.today, 24)
+    ledger = pin(payment_lines(book), "payment-lines")
     sign = F.when(F.col("d_shkzg_debit_credit_ind") == "H", -F.col("d_amount_in_lc"))
     shaped = [
         F.coalesce("d_vendor", "vendor_id").alias("d_vendor"),
@@ -99,7 +130,7 @@ def base_payment(book) -> DataFrame:
         F.col("d_clrng_doc").alias("payment_clearing_doc"),
     ]
     by_vendor = (
-        ledger.filter(erp_date_between("h_document_date", months_before(day, 24)))
+        ledger.filter(_paid_by_vendor(start))
         .join(
             scope_columns(book, "vendor_id", "supplier_name", L2),
             F.col("d_vendor") == F.col("vendor_id"),
@@ -107,10 +138,7 @@ def base_payment(book) -> DataFrame:
         .select(*shaped)
     )
     by_document = (
-        ledger.filter(
-            (F.col("d_clearing") != UNCLEARED)
-            & (F.col("h_posting_date") > months_before(day, 24))
-        )
+        ledger.filter(_paid_by_document(start))
         .join(_spend_documents(src), _same_document())
         .select(*shaped)
     )
@@ -125,15 +153,33 @@ def base_payment(book) -> DataFrame:
     )
 
 
-def sap_invoices(book) -> DataFrame:
-    """Distinct ledger invoice lines of the last 24 months with their origin system."""
-    src, day = book.src, book.today
-    ledger = src.ledger.filter(
+def invoice_lines(book) -> DataFrame:
+    """Ledger lines that both branches of ``sap_invoices`` read, by one scan."""
+    ledger = book.src.ledger.filter(
         (F.col("h_company_code") == COMPANY)
         & F.col("h_document_type").isin(INVOICE_DOCS)
-        & erp_date_between("h_document_date", months_before(day, 24))
+        & erp_date_between("h_document_date", months_before(book.today, 24))
     ).withColumn("system", invoice_origin(book.automation_users))
-    ledger = ledger.filter(F.col("system") != "")
+    return ledger.filter(F.col("system") != "").select(
+        *_LINE_KEY,
+        "h_document_date",
+        "h_docheader_text",
+        "h_reference",
+        "h_usnam_user_name",
+        "d_vendor",
+        "d_gl_account",
+        "d_amount_in_lc",
+        "d_clearing",
+        "d_clrng_doc",
+        "d_purchasing_doc",
+        "system",
+    )
+
+
+def sap_invoices(book) -> DataFrame:
+    """Distinct ledger invoice lines of the last 24 months with their origin system."""
+    src = book.src
+    ledger = pin(invoice_lines(book), "invoice-lines")
 
     def shaped(vendor: Column) -> list[Column]:
         return [
@@ -320,10 +366,34 @@ def vendor_profile(book) -> DataFrame:
 APPROVER_COLUMNS = [f"approver_{i}" for i in range(1, 8)]
 
 
-def first_approvers(src) -> DataFrame:
-    """The first seven approvers of each requisition by action date, as columns."""
+def ordered_requisitions(book) -> DataFrame:
+    """(requisition, order) pairs of the orders in ``ariba_po_invoice``.
+
+    A shared table: the approval plans look only at what these requisitions went through, so
+    the rest of the approval history leaves before anything is ranked.
+    """
+    orders = book.table("ariba_po_invoice").select(F.col("po_number").alias("po_order_id"))
+    return (
+        book.src.ariba_po_line.select("req_requisition_id", "po_order_id")
+        .join(orders.distinct(), "po_order_id", "left_semi")
+        .select("req_requisition_id", "po_order_id")
+        .distinct()
+    )
+
+
+def _approvals_of_orders(book) -> DataFrame:
+    needed = book.table("ordered_requisitions").select(
+        F.col("req_requisition_id").alias("approvable_id")
+    )
+    return book.src.approvals_raw.select("approvable_id", "real_user", "action_date").join(
+        needed.distinct(), "approvable_id", "left_semi"
+    )
+
+
+def first_approvers(book) -> DataFrame:
+    """The first seven approvers of each ordered requisition by action date, as columns."""
     return ranked_columns(
-        src.approvals_raw.select("approvable_id", "real_user", "action_date"),
+        _approvals_of_orders(book),
         "approvable_id",
         "real_user",
         [F.asc("action_date"), F.asc("real_user")],
@@ -331,19 +401,15 @@ def first_approvers(src) -> DataFrame:
     )
 
 
-def final_approver(src) -> DataFrame:
-    """The last user who acted on each requisition."""
+def final_approver(book) -> DataFrame:
+    """The last user who acted on each ordered requisition."""
     return first_per_key(
-        src.approvals_raw.select("approvable_id", "real_user", "action_date"),
+        _approvals_of_orders(book),
         ["approvable_id"],
         [F.desc("action_date"), F.asc("real_user")],
     ).select("approvable_id", F.col("real_user").alias("last_approver"))
 
 
-def requisition_orders(src) -> DataFrame:
-    return src.ariba_po_line.select("req_requisition_id", "po_order_id").distinct()
-
-
 def approvals_matrix(book) -> DataFrame:
     """Orders with the first seven approvers of their requisition."""
     po = (
@@ -366,10 +432,12 @@ def approvals_matrix(book) -> DataFrame:
         )
         .distinct()
     )
-    approvers = first_approvers(book.src)
+    approvers = book.table("first_approvers")
     return (
         po.join(
-            requisition_orders(book.src), F.col("po_number") == F.col("po_order_id"), "left"
+            book.table("ordered_requisitions"),
+            F.col("po_number") == F.col("po_order_id"),
+            "left",
         )
         .join(approvers, F.col("approvable_id") == F.col("req_requisition_id"), "left")
         # one order may hang on several requisitions without approvals: those rows coincide

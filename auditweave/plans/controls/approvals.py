@@ -7,12 +7,8 @@ from pyspark.sql import functions as F
 
 from auditweave.functions.envelope import Label, emit
 from auditweave.operators.history import largest_from_here, previous_row
-from auditweave.plans.conformed import (
-    APPROVER_COLUMNS,
-    final_approver,
-    first_approvers,
-    requisition_orders,
-)
+from auditweave.plans.conformed import APPROVER_COLUMNS
+from auditweave.sources.shelf import pin
 
 L2 = "supplier_custom_category_l2"
 
@@ -75,11 +71,12 @@ def _ordered_requisitions(book, columns: list) -> DataFrame:
         .select(*columns)
         .distinct()
     )
-    last = final_approver(src)
     rows = (
-        orders.join(requisition_orders(src), F.col("po_number") == F.col("po_order_id"))
+        orders.join(
+            book.table("ordered_requisitions"), F.col("po_number") == F.col("po_order_id")
+        )
         .drop("po_order_id")
-        .join(last, F.col("approvable_id") == F.col("req_requisition_id"))
+        .join(book.table("final_approver"), F.col("approvable_id") == F.col("req_requisition_id"))
         .drop("approvable_id")
     )
     return _with_limit(
@@ -87,6 +84,36 @@ def _ordered_requisitions(book, columns: list) -> DataFrame:
     )
 
 
+def _with_approver_limits(rows: DataFrame, approvers: DataFrame, limits: DataFrame) -> DataFrame:
+    """``rows`` with each approver's limit, by one look-up for all positions.
+
+    A name with several limits in the register gives a row for each of them, at every
+    position on its own, as one left join per position would.
+    """
+    by_name = limits.groupBy("_doa_name").agg(F.collect_set(F.struct("_limit")).alias("_limits"))
+    found = (
+        approvers.select("approvable_id", F.posexplode(F.array(*APPROVER_COLUMNS)))
+        .join(by_name, F.lower("col") == F.col("_doa_name"))
+        .groupBy("approvable_id")
+        .agg(
+            *[
+                F.max(F.when(F.col("pos") == i, F.col("_limits"))).alias(f"annual_limit_{name}")
+                for i, name in enumerate(APPROVER_COLUMNS)
+            ]
+        )
+    )
+    wide = approvers.join(found, "approvable_id", "left")
+    rows = rows.join(
+        wide, F.col("approvable_id") == F.col("req_requisition_id"), "left"
+    ).drop("approvable_id")
+    for name in APPROVER_COLUMNS:
+        limit = f"annual_limit_{name}"
+        rows = rows.withColumn(limit, F.explode_outer(limit)).withColumn(
+            limit, F.col(f"{limit}._limit")
+        )
+    return rows
+
+
 def approvals_exceeding_doa(book) -> DataFrame:
     """Orders whose spend exceeds the last approver's annual limit, with every approver.
 
@@ -109,13 +136,13 @@ def approvals_exceeding_doa(book) -> DataFrame:
             "requestor",
         ],
     ).filter(F.col("po_spend").cast("double") > F.col("annual_limit_approver_last"))
-    rows = flagged.join(
-        first_approvers(book.src),
-        F.col("approvable_id") == F.col("req_requisition_id"),
-        "left",
-    ).drop("approvable_id")
-    for approver in APPROVER_COLUMNS:
-        rows = _with_limit(rows, limits, approver, f"annual_limit_{approver}")
+    flagged = pin(flagged, "over-limit")
+    approvers = book.table("first_approvers").join(
+        flagged.select(F.col("req_requisition_id").alias("approvable_id")).distinct(),
+        "approvable_id",
+        "left_semi",
+    )
+    rows = _with_approver_limits(flagged, approvers, limits)
     rows = rows.withColumn("annual_limit_check_last_approver", F.lit("Yes")).distinct()
     return emit(rows, EXCEEDING_DOA, "po_date", book.today, keep_area=True)
 

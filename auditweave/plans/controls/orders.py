@@ -76,15 +76,12 @@ def ariba_dupe_po(book, symmetric: bool = False) -> DataFrame:
         "_key", F.concat("vendor_number", F.lit("-"), F.col("po_spend").cast("string"))
     )
     if symmetric:
-        pairs = near_date_pairs(keyed, ["_key"], "po_number", "po_date", 3)
-        anchors = keyed.select(
-            F.col("po_number").alias("low"), "_key", F.col("po_date").alias("anchor")
+        pairs = near_date_pairs(keyed, ["_key"], "po_number", "po_date", 3, detail=True)
+        members = pairs.select(
+            "_key",
+            F.col("low_day").alias("anchor"),
+            F.explode(F.array("low", "high")).alias("po_number"),
         ).distinct()
-        members = (
-            pairs.join(anchors, "low")
-            .select("_key", "anchor", F.explode(F.array("low", "high")).alias("po_number"))
-            .distinct()
-        )
     else:
         members = later_day_members(keyed, ["_key"], "po_number", "po_date", 3)
     # The group text is the key's number followed by the anchor day, ordered as text.

@@ -26,6 +26,8 @@ ACTIVE = "A"
 HOME_COUNTRY = "AU"
 SIMILAR_EDITS = 5
 SHARED_BANK_FLOOR = 5000
+#: The account keys of a party without any account.
+NO_SHORT_KEY, NO_LONG_KEY = "-", "--"
 
 # The report texts below.
 EMPLOYEE_BANK = Label(
@@ -120,8 +122,12 @@ def _blocked() -> Column:
 # --- vendors and employees -------------------------------------------------------------
 
 
-def _employee_accounts(book) -> DataFrame:
-    """Active vendors' accounts that are also an employee's."""
+def _employee_accounts(book, filled: bool = False) -> DataFrame:
+    """Active vendors' accounts that are also an employee's.
+
+    As written, vendors and employees without any account share a key; ``filled`` leaves
+    them out.
+    """
     src = book.src
     accounts = src.payroll_bank.select(
         "employee_id", joined_key("bank_number", "bank_account_number").alias("emp_bank_key")
@@ -129,6 +135,8 @@ def _employee_accounts(book) -> DataFrame:
     vendors = (
         _banked(src, _active()).withColumn("bank_key", joined_key(*_SHORT_BANK_KEY)).distinct()
     )
+    if filled:
+        vendors = vendors.filter(F.col("bank_key") != NO_SHORT_KEY)
     return vendors.join(accounts, F.col("bank_key") == F.col("emp_bank_key"))
 
 
@@ -163,18 +171,18 @@ def _spend_of(src, vendors: DataFrame) -> DataFrame:
     )
 
 
-def vendor_employee_same_bank(book) -> DataFrame:
+def vendor_employee_same_bank(book, filled: bool = False) -> DataFrame:
     """Active vendors paid into an employee's account, per distinct spend amount."""
-    matched = pin(_employee_accounts(book), "employee-accounts")
+    matched = pin(_employee_accounts(book, filled), "employee-accounts")
     return _with_employees(book, matched, _spend_of(book.src, matched).distinct())
 
 
-def vendor_employee_same_address(book) -> DataFrame:
+def vendor_employee_same_address(book, filled: bool = False) -> DataFrame:
     """The same account match with spend summed per vendor and category.
 
     Its name says address; the employee extract holds none, so the account is compared.
     """
-    matched = pin(_employee_accounts(book), "employee-accounts")
+    matched = pin(_employee_accounts(book, filled), "employee-accounts")
     spend = (
         _spend_of(book.src, matched)
         .groupBy("supplier_id", L2)
@@ -183,11 +191,14 @@ def vendor_employee_same_address(book) -> DataFrame:
     return _with_employees(book, matched, spend)
 
 
-def payments_shared_bank(book) -> DataFrame:
-    """Payments over the floor to vendors that share an account with an employee."""
-    matches = book.table("vendor_employee_same_bank").drop(
-        "routine_description", "metric_description", *FLAGS
-    )
+def payments_shared_bank(book, summed: bool = False) -> DataFrame:
+    """Payments over the floor to vendors that share an account with an employee.
+
+    As written a payment stands beside each distinct spend amount of its vendor; ``summed``
+    gives it once per account match and category, beside their spend.
+    """
+    source = "vendor_employee_same_address" if summed else "vendor_employee_same_bank"
+    matches = book.table(source).drop("routine_description", "metric_description", *FLAGS)
     payments = (
         book.table("base_payment")
         .filter(F.col("payment_amount") > SHARED_BANK_FLOOR)
@@ -276,30 +287,41 @@ def _blocked_and_approved(book) -> tuple[DataFrame, DataFrame]:
     return pin(side(_blocked(), "blocked"), "blocked"), pin(side(_active(), "approved"), "approved")
 
 
-def approved_vs_blocked(book) -> DataFrame:
+def approved_vs_blocked(book, filled: bool = False) -> DataFrame:
     """Blocked vendors beside approved ones with the same account, address or tax number,
     or an address at most five edits away.
 
     The alternatives are separate equi-joins; a pair found by several is kept once and its
-    reason is decided afterwards, in a fixed order.
+    reason is decided afterwards, in a fixed order. ``filled`` lets blanks match nothing.
     """
     blocked, approved = _blocked_and_approved(book)
+    blanks = {"bank_key": NO_LONG_KEY, "address": "", "abn": ""}
+
+    def given(side: str, key: str) -> Column:
+        return F.col(f"{side}_{key}") != blanks[key] if filled else F.lit(True)
+
     exact = match_by_rules(
         blocked,
         approved,
         [
-            MatchRule("", [F.col(f"blocked_{k}")], [F.col(f"approved_{k}")])
-            for k in ("bank_key", "address", "abn")
+            MatchRule(
+                "", [F.col(f"blocked_{k}")], [F.col(f"approved_{k}")], given("blocked", k)
+            )
+            for k in blanks
         ],
     ).drop("match_reason")
     # the other side is written out in pieces, so that is the few blocked vendors
     near = similar_text_pairs(
-        approved, blocked, "approved_address", "blocked_address", SIMILAR_EDITS
+        approved.filter(given("approved", "address")),
+        blocked.filter(given("blocked", "address")),
+        "approved_address",
+        "blocked_address",
+        SIMILAR_EDITS,
     ).filter(F.col("blocked_address") != F.col("approved_address"))
     similar = blocked.join(near, "blocked_address").join(approved, "approved_address")
 
     def same(key: str) -> Column:
-        return F.col(f"blocked_{key}") == F.col(f"approved_{key}")
+        return (F.col(f"blocked_{key}") == F.col(f"approved_{key}")) & given("blocked", key)
 
     # Reason texts, in order of precedence.
     reason = (
@@ -334,8 +356,12 @@ def _numbered_by_approved(rows: DataFrame) -> DataFrame:
     )
 
 
-def blocked_reonboarded(book) -> DataFrame:
-    """Blocked vendors whose details reappear on another, approved vendor."""
+def blocked_reonboarded(book, filled: bool = False) -> DataFrame:
+    """Blocked vendors whose details reappear on another, approved vendor.
+
+    As written, accounts without numbers and telephone texts without digits match each
+    other; ``filled`` lets them match nothing.
+    """
     src = book.src
     categories = vendor_categories(book, "supplier_id")
     contact = ["financial_party_contact_name", "email_address", "telephone_number"]
@@ -383,7 +409,7 @@ def blocked_reonboarded(book) -> DataFrame:
     def letters_digits(col: str) -> Column:
         return F.regexp_replace(F.lower(F.trim(col)), "[^a-z0-9]", "")
 
-    def filled(col: str) -> Column:
+    def filled_in(col: str) -> Column:
         return F.coalesce(col, F.lit("")) != ""
 
     def equal(blocked_col: str, approved_col: str) -> tuple[list[Column], list[Column]]:
@@ -394,33 +420,35 @@ def blocked_reonboarded(book) -> DataFrame:
             "Matched on BSB + Account Number",
             [F.col("blocked_bsb"), F.col("blocked_accountnumber")],
             [F.col("approved_bsb"), F.col("approved_accountnumber")],
+            filled_in("blocked_bsb") & filled_in("blocked_accountnumber") if filled else None,
         ),
         MatchRule(
             "Matched on Email",
             *equal("blocked_emailaddress", "approved_emailaddress"),
-            filled("blocked_emailaddress"),
+            filled_in("blocked_emailaddress"),
         ),
         MatchRule(
             "Matched on Phone Number",
             [digits("blocked_telephonenumber")],
             [digits("approved_telephonenumber")],
-            ~F.coalesce("blocked_telephonenumber", F.lit("")).isin("", "N/A"),
+            ~F.coalesce("blocked_telephonenumber", F.lit("")).isin("", "N/A")
+            & (digits("blocked_telephonenumber") != "" if filled else F.lit(True)),
         ),
         MatchRule(
             "Matched on ABN",
             *equal("blocked_supplier_abn", "approved_abn"),
-            filled("blocked_supplier_abn"),
+            filled_in("blocked_supplier_abn"),
         ),
         MatchRule(
             "Matched on Address",
             [letters_digits("blocked_full_address")],
             [letters_digits("approved_full_address")],
-            filled("blocked_full_address"),
+            filled_in("blocked_full_address"),
         ),
         MatchRule(
             "Matched on Financial Party Contact Name",
             *equal("blocked_financialpartycontactname", "approved_financialpartycontactname"),
-            filled("blocked_financialpartycontactname"),
+            filled_in("blocked_financialpartycontactname"),
         ),
     ]
     rows = (

@@ -6,11 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from auditweave.plans import conformed, scope, unions, vendor_tables
+from auditweave.plans import conformed, readings, scope, unions, vendor_tables
 from auditweave.plans.controls import approvals, invoices, orders, payments, vendors
 
 Plan = Callable[..., DataFrame]
 
+#: What several approval plans read.
+APPROVAL_TABLES: dict[str, Plan] = {
+    f.__name__: f
+    for f in (
+        conformed.ordered_requisitions,
+        conformed.first_approvers,
+        conformed.final_approver,
+    )
+}
+
 CONFORMED: dict[str, Plan] = {
     f.__name__: f
     for f in (
@@ -21,6 +31,7 @@ CONFORMED: dict[str, Plan] = {
         conformed.sap_po,
         conformed.maximo_po,
         conformed.vendor_profile,
+        *APPROVAL_TABLES.values(),
         conformed.approvals_matrix,
     )
 }
@@ -95,4 +106,23 @@ UNIONS: dict[str, Plan] = {
     )
 }
 
-PLANS: dict[str, Plan] = {**CONFORMED, **VENDOR_TABLES, **CONTROLS, **UNIONS}
+READINGS: dict[str, Plan] = {
+    f.__name__: f
+    for f in (
+        readings.ariba_dupe_po_symmetric,
+        readings.maximo_duplicate_po_within_3_days,
+        readings.repeat_payments_within_14_days,
+        readings.payments_within_1_day_over_1000,
+        readings.payment_over_invoice_amount,
+        readings.vendor_attributes_one_category,
+        readings.vendor_employee_same_bank_filled,
+        readings.vendor_employee_same_address_filled,
+        readings.payments_shared_bank_summed,
+        readings.approved_vs_blocked_filled,
+        readings.blocked_reonboarded_filled,
+    )
+}
+
+#: What an audit runs unless told otherwise.
+AUDIT: dict[str, Plan] = {**CONFORMED, **VENDOR_TABLES, **CONTROLS, **UNIONS}
+PLANS: dict[str, Plan] = {**AUDIT, **READINGS}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from auditweave.book import AuditBook
-from auditweave.plans.registry import PLANS, VENDOR_TABLES
+from auditweave.plans.registry import AUDIT, PLANS, VENDOR_TABLES
 
 # How a reader expects each report to be sorted. Sorting is a property of the sink: nothing
 # downstream depends on it and the plans themselves never sort.
@@ -61,6 +61,7 @@ def run_audit(
 ) -> RunReport:
     """Write each plan to ``out_dir/<name>/<run>`` as Parquet, one folder per run.
 
+    ``names`` are by default those of the audit; other readings run when they are named.
     Later plans read the written results of earlier ones. A result counts once it is whole:
     only then does ``out_dir/_current`` name its folder, so that a failing write leaves the last
     good report as it was, and readers go by ``current_results``. With ``strict`` any failure ends
@@ -68,7 +69,7 @@ def run_audit(
     reads it; what is skipped is named without a folder, so no reader takes an old report
     for a current one.
     """
-    wanted = set(PLANS if names is None else names)
+    wanted = set(AUDIT if names is None else names)
     report = RunReport()
     out_dir, run = out_dir.rstrip("/"), uuid.uuid4().hex
     for name in PLANS:
@@ -112,7 +113,7 @@ def current_results(spark: SparkSession, out_dir: str) -> dict[str, str | None]:
 
 def create_views(book: AuditBook, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
     """Register plans as temporary views of the same name, replacing earlier ones."""
-    views = {name: book.plan(name) for name in (PLANS if names is None else names)}
+    views = {name: book.plan(name) for name in (AUDIT if names is None else names)}
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return views

@@ -99,11 +99,16 @@ def _main_category(src) -> DataFrame:
     )
 
 
-def last_approver(book) -> DataFrame:
-    """Latest approval by a real user per requisition, and whether it was on behalf."""
+def last_approver(book, among: DataFrame | None = None) -> DataFrame:
+    """Latest approval by a real user per requisition, and whether it was on behalf.
+
+    ``among`` holds the requisitions wanted, by default all.
+    """
     approved = book.src.approvals_curated.filter(
         (F.col("approver_state") == "Approved") & (F.col("real_user") != "")
     ).select("approvable_id", "real_user", "approver", "action_date")
+    if among is not None:
+        approved = approved.join(among.distinct(), "approvable_id", "left_semi")
     latest = first_per_key(
         approved,
         ["approvable_id"],
@@ -134,9 +139,12 @@ def doa_unique(book) -> DataFrame:
     )
 
 
-def po_line_level(book) -> DataFrame:
-    """Line counts and totals per order."""
-    return book.src.ariba_po_line.groupBy("po_order_id").agg(
+def po_line_level(book, among: DataFrame | None = None) -> DataFrame:
+    """Line counts and totals per order; ``among`` holds the orders wanted, by default all."""
+    lines = book.src.ariba_po_line
+    if among is not None:
+        lines = lines.join(among.distinct(), "po_order_id", "left_semi")
+    return lines.groupBy("po_order_id").agg(
         F.count("*").alias("po_line_item_count"),
         F.count(F.when(F.col("sum_amount_invoiced") > 0, 1)).alias("invoiced_line_item_count"),
         F.sum("sum_po_spend").cast("double").alias("total_po_spend_line_level"),
@@ -187,9 +195,11 @@ def base_transaction(book) -> DataFrame:
         .withColumn("cost_centre", F.when(F.col("_low") == F.col("_high"), F.col("_high")))
         .drop("_low", "_high")
     )
+    # only what the rows need is ranked and summed, not the whole history
+    needed = book.table("ariba_po_invoice").select("requisition_id", "po_number").distinct()
     joined = (
         grain.join(
-            book.table("last_approver"),
+            last_approver(book, needed.select(F.col("requisition_id").alias("approvable_id"))),
             F.col("requisition_id") == F.col("approvable_id"),
             "left",
         )
@@ -201,7 +211,9 @@ def base_transaction(book) -> DataFrame:
         )
         .drop("approved_by_user_upper")
         .join(
-            book.table("po_line_level"), F.col("po_number") == F.col("po_order_id"), "left"
+            po_line_level(book, needed.select(F.col("po_number").alias("po_order_id"))),
+            F.col("po_number") == F.col("po_order_id"),
+            "left",
         )
         .drop("po_order_id")
     )

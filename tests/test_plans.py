@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from auditweave import Anchors, AuditBook, Sources
 from auditweave.functions.envelope import FLAGS, time_flags
 from auditweave.functions.keys import erp_date, erp_date_between, full_address, joined_key, strip_zeros
+from auditweave.plans.conformed import invoice_lines, payment_lines
 from auditweave.plans.runner import create_views, current_results, run_audit
 from auditweave.plans.vendor_tables import FEATURES, vendor_attributes, vendor_features
 from auditweave.sources.schemas import LAYOUTS, schema_of
@@ -535,12 +536,60 @@ def test_views_are_replaceable(spark):
 
 def test_ledger_filters_reach_the_scan(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
-    plan = open_book(spark, SF_DIR).plan("base_payment")
-    text = plan._jdf.queryExecution().executedPlan().toString()
+    text = plan_text(payment_lines(open_book(spark, SF_DIR)))
     assert "EqualTo(h_document_type,ZP)" in text
     assert "GreaterThanOrEqual(h_document_date,19990801)" in text
 
 
+def plan_text(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ledger_is_scanned_once(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    book = open_book(spark, SF_DIR)
+    for lines, view in ((payment_lines, "base_payment"), (invoice_lines, "sap_invoices")):
+        place = book.src.ledger.inputFiles()[0].split("/")[-2]
+        assert plan_text(lines(book)).count("FileScan") == 1
+        assert place in plan_text(lines(book))
+        assert place not in plan_text(book.plan(view))
+
+
+def test_history_is_cut_before_it_is_ranked(spark):
+    book = open_book(spark, SF_DIR)
+    for name in ("first_approvers", "final_approver"):
+        text = plan_text(book.plan(name))
+        assert text.index("Window") < text.index("LeftSemi")  # the join is below
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    text = plan_text(book.plan("approvals_exceeding_doa"))  # the rest is written before
+    assert text.count("ReadSchema: struct<employee_name") == 1
+
+
+def test_each_limit_of_a_name_counts_at_each_position(spark):
+    from auditweave.plans.conformed import APPROVER_COLUMNS
+    from auditweave.plans.controls.approvals import _with_approver_limits, _with_limit
+
+    names = ["Ann", "Bob", "ANN", None, "Zoe", None, None]
+    approvers = spark.createDataFrame(
+        [("R1", *names), ("R2", "Cy", *[None] * 6)],
+        "approvable_id string, " + ", ".join(f"{c} string" for c in APPROVER_COLUMNS),
+    )
+    limits = spark.createDataFrame(
+        [("ann", 5.0), ("ann", 7.0), ("bob", None), ("cy", None), ("cy", 1.0), (None, 9.0)],
+        "_doa_name string, _limit double",
+    )
+    rows = spark.createDataFrame([("R1", 1), ("R2", 2), ("R3", 3), (None, 4)], "req_requisition_id string, n int")
+    ours = _with_approver_limits(rows, approvers, limits)
+    plain = rows.join(
+        approvers, F.col("approvable_id") == F.col("req_requisition_id"), "left"
+    ).drop("approvable_id")
+    for name in APPROVER_COLUMNS:
+        plain = _with_limit(plain, limits, name, f"annual_limit_{name}")
+    assert ours.count() == 4 + 2 + 2
+    assert ours.exceptAll(plain.select(ours.columns)).count() == 0
+    assert plain.select(ours.columns).exceptAll(ours).count() == 0
+
+
 def test_asset_orders_within_days(spark):
     from auditweave.plans.controls.orders import maximo_duplicate_po
 
