@@ -5,7 +5,9 @@ given up to three characters before it. The n-grams of all languages lie togethe
 sorted by their hash, with one column of log probabilities per language, so one look-up
 gives a character's cost in every language. A text gets the language of the lowest cross-entropy per
 character. How sure that is, and beyond which cross-entropy a text is rejected as none of
-the languages, is calibrated on training documents that the models have not seen.
+the languages, is calibrated on training documents that the models have not seen. For
+rejection each stretch of a text counts in the language that explains it best, so a text that
+goes on in another of the languages is none that no language explains.
 
 Models are fitted on a bounded sample of labelled documents; prediction reads whole texts.
 """
@@ -31,8 +33,14 @@ CALIBRATE_EVERY = 4
 BATCH_CHARS = 250_000
 #: A text's cross-entropy is taken to settle within so many characters.
 SETTLED = 200
-#: Rejection begins so many times as far from the mean as any calibration document.
-SLACK = 3.0
+#: Symbols of a stretch, which counts in the language that explains it best.
+STRETCH = 100
+#: Share of the texts in a language that rejection is to spare, by length.
+SPARED = 0.99999
+#: The uppermost share of the deviations, from which the quantile ``SPARED`` is drawn out.
+TAIL = 0.1
+#: Documents of a length that calibrate by themselves; fewer go with all others.
+ENOUGH = 50
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _ODD.append(np.uint64(0xD6E8FEB86659FD93))
@@ -198,11 +206,26 @@ def log_probs(tables: dict, sign: np.ndarray) -> np.ndarray:
     return out
 
 
+def _distinct(sign: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Symbols of each text in words not counted before in it: a repeated word tells nothing new."""
+    ends = np.flatnonzero(sign == 0)
+    heads = np.concatenate([[0], ends[:-1] + 1])
+    sizes = ends + 1 - heads
+    place = np.arange(len(sign)) - np.repeat(heads, sizes)
+    word = np.add.reduceat(_hash([sign, place], 0), heads)
+    text = np.searchsorted(starts, heads, side="right") - 1
+    once = np.unique(_hash([word, text], 0), return_index=True)[1]
+    return np.bincount(text[once], sizes[once], len(starts) - 1).astype(np.int64)
+
+
 def _costs(tables: dict, texts: list[str | None], letters: np.ndarray):
-    """Per text its number of symbols, and its cost per symbol in each language (nats)."""
+    """Per text its number of symbols, its cost per symbol in each language (nats), the
+    cost where each stretch counts in its best language, and the number of symbols in distinct words."""
     width = len(tables["languages"])
     n = np.zeros(len(texts), np.int64)
     cost = np.zeros((len(texts), width))
+    mixed = np.zeros(len(texts))
+    fresh = np.zeros(len(texts), np.int64)
     first = 0
     while first < len(texts):
         last, size = first, 0
@@ -217,8 +240,20 @@ def _costs(tables: dict, texts: list[str | None], letters: np.ndarray):
                 [np.zeros((1, width)), np.cumsum(log_probs(tables, sign), axis=0, dtype=float)]
             )
             cost[first:last] = -(sums[starts[1:]] - sums[starts[:-1]])
+            # a text's last stretch takes up what is left, so none is short in a long text
+            pieces = np.maximum(some // STRETCH, 1)
+            owner = np.repeat(np.arange(len(some)), pieces)
+            owner = owner[np.repeat(some > 0, pieces)]
+            pieces = np.where(some > 0, pieces, 0)
+            head = np.cumsum(pieces) - pieces
+            begin = starts[owner] + STRETCH * (np.arange(len(owner)) - head[owner])
+            stop = np.append(begin[1:], starts[-1])
+            best = -(sums[stop] - sums[begin]).max(axis=1)
+            mixed[first:last] = np.bincount(owner, best, len(some))
+            fresh[first:last] = _distinct(sign, starts)
         first = last
-    return n, cost / np.maximum(n, 1)[:, None]
+    per = np.maximum(n, 1)
+    return n, cost / per[:, None], mixed / per, fresh
 
 
 def _count_grams(batches):
@@ -282,15 +317,16 @@ def train(docs: DataFrame, learn_from: Column, per_language: int = SAMPLE_PER_LA
     def measure(batches):
         state = _ready(first.value)
         for batch in batches:
-            n, cost = _costs(state["tables"], batch.column(1).to_pylist(), state["letters"])
+            _, cost, mixed, n = _costs(state["tables"], batch.column(1).to_pylist(), state["letters"])
+            cost = pa.array(list(cost), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_pydict(
-                {"lang": batch.column(0), "n": n, "cost": pa.array(list(cost), pa.list_(pa.float64()))}
+                {"lang": batch.column(0), "n": n, "cost": cost, "mixed": mixed}
             )
 
     seen = (
         rows.where(later)
         .select("lang", "text")
-        .mapInArrow(measure, "lang string, n bigint, cost array<double>")
+        .mapInArrow(measure, "lang string, n bigint, cost array<double>, mixed double")
         .where("n > 0")
         .toPandas()  # bounded by the sample
     )
@@ -298,10 +334,14 @@ def train(docs: DataFrame, learn_from: Column, per_language: int = SAMPLE_PER_LA
 
 
 def _calibrated(seen: pd.DataFrame, languages: list[str]) -> dict:
-    """Temperature of the score, and the limits of rejection, from unseen documents."""
+    """Temperature of the score, and the limits of rejection, from unseen documents.
+
+    A limit is a mean by language and a reach for short and for long texts. Documents that
+    another language explains better than their label's are left out of the limits.
+    """
     at = {lang: i for i, lang in enumerate(languages)}
     seen = seen[seen.lang.isin(languages)]
-    limits = np.full((len(languages), 2), np.inf)
+    means, reach = np.full(len(languages), np.inf), np.full(2, np.inf)
     temperature = 0.1
     if len(seen):
         cost = np.stack(list(seen.cost))
@@ -310,14 +350,22 @@ def _calibrated(seen: pd.DataFrame, languages: list[str]) -> dict:
             (0.01, 0.02, 0.05, 0.1, 0.2, 0.5, 1.0),
             key=lambda t: -np.log(_softmax(cost, t)[np.arange(len(cost)), truth] + 1e-9).mean(),
         )
-        own = cost[np.arange(len(cost)), truth]
-        root = np.sqrt(np.minimum(seen.n.to_numpy(), SETTLED))
-        for i in range(len(languages)):
-            mine = truth == i
-            if mine.any():
-                mean = own[mine].mean()
-                limits[i] = mean, SLACK * max(((own[mine] - mean) * root[mine]).max(), 1.0)
-    return {"temperature": float(temperature), "limits": limits}
+        agrees = cost.argmin(axis=1) == truth
+        truth, n, mixed = truth[agrees], seen.n.to_numpy()[agrees], seen.mixed.to_numpy()[agrees]
+        for i in set(truth.tolist()):
+            means[i] = np.median(mixed[truth == i])
+        far = (mixed - means[truth]) * np.sqrt(np.minimum(n, SETTLED))
+        for k, those in enumerate((n < SETTLED, n >= SETTLED)):
+            if len(far):
+                reach[k] = _high(far[those] if those.sum() >= ENOUGH else far)
+    return {"temperature": float(temperature), "means": means, "reach": reach}
+
+
+def _high(far: np.ndarray) -> float:
+    """The quantile ``SPARED`` of ``far``, by an exponential tail beyond its last ``TAIL``."""
+    edge = np.quantile(far, 1 - TAIL)
+    beyond = far[far >= edge] - edge
+    return float(edge + max(beyond.mean(), 0.1) * math.log(TAIL / (1 - SPARED)))
 
 
 def _softmax(cost: np.ndarray, temperature: float) -> np.ndarray:
@@ -351,15 +399,16 @@ def _ready(state: dict) -> dict:
 def _decide(state: dict, texts: list[str | None]):
     """Language, score and rejection of each text."""
     if not state["languages"]:
-        return ["und"] * len(texts), [0.0] * len(texts), [True] * len(texts)
+        # nothing was learned to reject by
+        none = [not any(c.isalpha() for c in t or "") for t in texts]
+        return ["und"] * len(texts), [0.0] * len(texts), none
     ready = _ready(state)
-    n, cost = _costs(ready["tables"], texts, ready["letters"])
+    n, cost, mixed, fresh = _costs(ready["tables"], texts, ready["letters"])
     best = cost.argmin(axis=1)
     rows = np.arange(len(texts))
     score = _softmax(cost, state["temperature"])[rows, best]
-    mean, reach = state["limits"][best].T
-    with np.errstate(invalid="ignore"):
-        far = cost[rows, best] > mean + reach / np.sqrt(np.clip(n, 1, SETTLED))
+    reach = state["reach"][(fresh >= SETTLED).astype(int)]
+    far = mixed > state["means"][best] + reach / np.sqrt(np.clip(fresh, 1, SETTLED))
     none = n == 0
     langs = [
         "und" if x else state["languages"][b] for b, x in zip(best.tolist(), none.tolist())
@@ -372,8 +421,9 @@ def identify(docs: DataFrame, model) -> DataFrame:
 
     ``lang_pred`` is the language of the lowest cross-entropy per character, of equals the
     first by name, and ``und`` for a null text or one without a letter. ``score`` is between
-    0 and 1, and 0 for ``und``. ``rejected`` holds for ``und`` and where even that language
-    explains the text far worse than any document it was calibrated on. Repeated rows and rows
+    0 and 1, and 0 for ``und``. ``rejected`` holds for texts without a letter, and where
+    the languages explain the text worse than ``SPARED`` of the texts in that language and of
+    about that length, where a repeated word counts once; if no language was learned, only for texts without a letter. Repeated rows and rows
     without an id each give a row; an empty table gives an empty result.
     """
     rows = pick(docs, "doc_id", "text")

@@ -157,6 +157,41 @@ def test_strange_text_is_rejected(spark, tongues):
     assert language_id.identify(strange, model).first().rejected
 
 
+def test_unlearned_languages_and_shuffled_letters_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text")
+    docs = docs.where(F.length("text") >= 500)
+    # every seventh French and German text is labelled English
+    wrong = F.col("lang").isin("fr", "de") & (id_remainder("doc_id", 7) == 0)
+    labelled = docs.where("lang <> 'es'").withColumn("lang", F.when(wrong, "en").otherwise(F.col("lang")))
+    model = language_id.train(labelled, id_remainder("doc_id", 5) != 0)
+    shuffle = F.udf(lambda text: "".join(random.Random(5).sample(text, len(text))), "string")
+    fresh = docs.where(id_remainder("doc_id", 5) == 0)
+    share = {
+        name: language_id.identify(table, model).agg(F.avg(F.col("rejected").cast("int"))).first()[0]
+        for name, table in {
+            "learned": docs.where("lang <> 'es'"),
+            "unlearned": docs.where("lang = 'es'"),
+            "shuffled": fresh.withColumn("text", shuffle("text")),
+        }.items()
+    }
+    assert share["learned"] < 0.01 and share["unlearned"] > 0.95 and share["shuffled"] > 0.95, share
+
+
+def test_texts_in_two_languages_and_repeated_words_stay(tongues):
+    model = language_id.train(tongues, id_remainder("doc_id", 5) != 0)
+    both = f"{WORDS['en']} " * 40 + f"{WORDS['de']} " * 40
+    probe = [(1, both), (2, f"{WORDS['de'].split()[0]} " * 200)]
+    found = language_id.identify(tongues.sparkSession.createDataFrame(probe, "doc_id bigint, text string"), model)
+    assert {r.doc_id: r.rejected for r in found.collect()} == {1: False, 2: False}
+
+
+def test_without_languages_only_letterless_texts_go(tongues):
+    model = language_id.train(tongues.withColumn("lang", F.lit(None).cast("string")), F.lit(True))
+    probe = tongues.sparkSession.createDataFrame([(1, "some words"), (2, " 12 "), (3, None)], "doc_id bigint, text string")
+    got = {r.doc_id: (r.lang_pred, r.rejected) for r in language_id.identify(probe, model).collect()}
+    assert got == {1: ("und", False), 2: ("und", True), 3: ("und", True)}
+
+
 def test_no_labels_no_languages(tongues):
     model = language_id.train(tongues.withColumn("lang", F.lit(None).cast("string")), F.lit(True))
     assert {r.lang_pred for r in language_id.identify(tongues, model).collect()} == {"und"}
