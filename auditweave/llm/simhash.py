@@ -314,6 +314,30 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("v").alias("node"), F.col("u").alias("component"))
 
 
+def _marked(rows: DataFrame, shingle: int) -> DataFrame:
+    """The written rows with ``code``, the fingerprint of their last column, in its place."""
+    kept = rows.columns[:-1]
+
+    def run(batches):
+        for batch in batches:
+            codes = [fingerprint(t.as_py(), shingle) for t in batch.column(len(kept))]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(np.array(codes, np.uint64).view(np.int64))],
+                [*kept, "code"],
+            )
+
+    kinds = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept]
+    return pin(rows.mapInArrow(run, ", ".join([*kinds, "code bigint"])), "fingerprints")
+
+
+def _classed(entries: DataFrame, max_bits: int, hot: int) -> DataFrame:
+    """``entries``, a row per distinct ``code``, with the ``component`` of the code."""
+    found = components(link_fingerprints(entries.select("code"), max_bits, hot))
+    return entries.join(found, entries.code == found.node, "left").select(
+        *[entries[c] for c in entries.columns], F.coalesce("component", "code").alias("component")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, hot: int = HOT
 ) -> DataFrame:
@@ -326,24 +350,9 @@ def near_duplicates(
     can be reached over links of at most ``max_bits`` differing bits; null if no document of
     the component has an id. Repeated rows each give a row; an empty table an empty result.
     """
-    rows = pick(docs, "doc_id", "text")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-
-    def run(batches):
-        for batch in batches:
-            codes = [fingerprint(t.as_py(), shingle) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(codes, np.uint64).view(np.int64))],
-                ["doc_id", "code"],
-            )
-
-    marked = pin(rows.mapInArrow(run, f"doc_id {kind}, code bigint"), "fingerprints")
+    marked = _marked(pick(docs, "doc_id", "text"), shingle)
     entries = pin(marked.groupBy("code").agg(F.min("doc_id").alias("first_id")), "entries")
-    found = components(link_fingerprints(entries.select("code"), max_bits, hot))
-    classed = (
-        entries.join(found, entries.code == found.node, "left")
-        .select("code", "first_id", F.coalesce("component", "code").alias("component"))
-    )
+    classed = _classed(entries, max_bits, hot)
     named = classed.join(
         classed.groupBy("component").agg(F.min("first_id").alias("component_id")), "component"
     ).select("code", "component_id")
@@ -354,14 +363,38 @@ def near_duplicates(
     )
 
 
-def keep_one(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component, one row for each.
+def keep_one(
+    docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, hot: int = HOT
+) -> DataFrame:
+    """One row of ``docs`` for each component, and one of its rows without an id.
 
-    All columns stay. Of rows with one id, one stays. Rows without an id have no name to be
-    kept by and stay all.
+    All columns stay. Rows are told apart by themselves, not by their id: of a component's rows
+    the one with the least doc_id stays, of equal ids the one with the least fingerprint, then
+    hash of the text, then hash of all columns. A row without an id never stands for rows with
+    one, nor they for it, so such a component keeps one row of either kind.
     """
-    found = near_duplicates(docs, **settings)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where(docs["doc_id"].isNotNull())
-    named = named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where(docs["doc_id"].isNull()))
+    names = docs.columns
+    flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    hashed = [f.name for f in flat.schema if "map<" not in f.dataType.simpleString()]
+    # written once: the number of a row must not change between the steps below
+    flat = pin(flat.withColumn("row", F.monotonically_increasing_id()), "rows")
+    text = flat[f"c{names.index('text')}"]
+    rows = flat.select(
+        flat[f"c{names.index('doc_id')}"].alias("doc_id"),
+        F.xxhash64(text).alias("text_hash"),
+        F.xxhash64(*hashed).alias("row_hash"),
+        "row",
+        text.alias("text"),
+    )
+    marked = _marked(rows, shingle)
+    least = F.min(F.struct("doc_id", "code", "text_hash", "row_hash", "row"))
+    firsts = marked.groupBy("code", F.isnull("doc_id").alias("unnamed")).agg(least.alias("first"))
+    firsts = pin(firsts, "entries")
+    classed = _classed(firsts.select("code").distinct(), max_bits, hot)
+    kept = (
+        firsts.join(classed, "code")
+        .groupBy("component", "unnamed")
+        .agg(F.min("first").alias("first"))
+        .select("first.row")
+    )
+    return flat.join(kept, "row", "left_semi").drop("row").toDF(*names)

@@ -306,6 +306,22 @@ def test_near_duplicates_and_odd_rows(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_row_stays_of_each_component_whatever_the_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [
+        (1, a), (2, a), (2, b), (3, b), (3, c), (4, c), (4, c), (2, c),  # an id with several texts
+        (5, d), (5, "one more text that is like no other"),
+        (None, "nobody named this text"), (None, "nobody NAMED this text"), (None, "nor this one here"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    expected = {(1, a), (2, b), (2, c), (5, d), (5, rows[9][1]), (None, "nor this one here")}
+    for parts in (1, 3):
+        kept = [(r.doc_id, r.text) for r in simhash.keep_one(docs.repartition(parts)).collect()]
+        unnamed = [t.lower() for i, t in kept if i is None]
+        assert sorted(unnamed) == ["nobody named this text", "nor this one here"]
+        assert len(kept) == 7 and expected <= set(kept)
+
+
 # --- neighbours -------------------------------------------------------------------------
 
 
