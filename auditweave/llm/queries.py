@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditweave.llm import decontamination, html_text, language_id, language_model, licenses, nearest, packing, simhash, statements, token_counts, warc
+from auditweave.llm import decontamination, fill_in_middle, html_text, language_id, language_model, licenses, line_dedup, nearest, packing, prefix_trie, simhash, statements, token_counts, warc
 from auditweave.llm.common import id_remainder, load
 
 
@@ -76,6 +76,30 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table, table.where(F.col("vec_id") % 20 == 0))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = load(spark, sf_dir, "conversations")
+    return prefix_trie.build(conversations, prefix_trie.shared_heads)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(load(spark, sf_dir, "documents"))
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return line_dedup.apply(docs, line_dedup.keep_bitmaps(docs), with_text=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -89,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_language_id,
         op10_nearest_neighbours,
+        op11_prefix_trie,
+        op12_fill_in_middle,
+        op13_line_dedup,
     )
 }
 
@@ -96,4 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_warc_archive": statements.WARC,
     "op6_benchmark_decontamination": statements.DECONTAMINATION,
+    "op11_prefix_trie": statements.PREFIX_TRIE,
+    "op12_fill_in_middle": statements.FILL_IN_MIDDLE,
+    "op13_line_dedup": statements.LINE_DEDUP,
 }
