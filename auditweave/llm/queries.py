@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from auditweave.llm import decontamination, fill_in_middle, html_text, language_id, language_model, licenses, line_dedup, nearest, packing, prefix_trie, simhash, statements, token_counts, warc
 from auditweave.llm.common import id_remainder, load
+from auditweave.sources.shelf import pin
 
 
 def tokenizer_json() -> str:
@@ -27,8 +28,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archive = warc.write_archive(load(spark, sf_dir, "pages"))
-    return warc.parse(warc.records(*archive)).select(
+    pages = load(spark, sf_dir, "pages")
+    stored = warc.records(*warc.write_archive(pages), full=False)
+    page_type = pages.schema["page_id"].dataType.simpleString()
+    return warc.resolve(pin(warc.parse(stored), "records"), page_type).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 

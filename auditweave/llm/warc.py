@@ -6,17 +6,21 @@ exact header block of every record with the key of its payload. A join puts reco
 again, byte for byte, and checks every payload against its key and its length.
 
 Of records with equal payloads the one of the largest page_id is the response; the others are
-revisits that refer to it. Only keys, never payloads, are grouped to decide that.
+revisits that refer to it. Only keys, never payloads, are grouped to decide that. Payloads are
+shuffled once, by their key, after each task has dropped its own repetitions; they are stored
+in buckets by that key, so reading them back shuffles headers only.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from auditweave.llm.common import pick
-from auditweave.sources.shelf import pin
+from auditweave.sources.shelf import pin, shelf_of
 
 #: Line end of the format, and its digits of base 32.
 CRLF = "\r\n"
@@ -25,6 +29,10 @@ _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 NO_DATE = "1970-01-01T00:00:00Z"
 #: Records that one file takes in an export.
 FILE_RECORDS = 5_000
+#: Payload bytes of a bucket.
+BUCKET_BYTES = 256 << 20
+#: Field of a header that names the page, of the kind that the format leaves to its users.
+PAGE_FIELD = "X-Page-ID"
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -56,6 +64,7 @@ def _header_block() -> Column:
         line("WARC-Type", F.col("record_type")),
         line("WARC-Record-ID", _record_id(F.col("page_id"), F.col("copy"))),
         line("WARC-Date", F.lit(NO_DATE)),
+        F.coalesce(line(PAGE_FIELD, F.col("page_id").cast("string")), F.lit("")),
         line("WARC-Target-URI", target),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         F.when(
@@ -84,8 +93,9 @@ def write_archive(
 
     ``payloads`` has one row per distinct content that is archived: sha256, payload.
     ``headers`` has one row per page: page_id, url, header (text, line ends included),
-    sha256, payload_bytes, payload_digest, record_type, refers_to. They go under ``path``, or
-    to the session's folder for written tables if none is given.
+    sha256, payload_bytes, payload_digest, record_type, refers_to, carrier (whether it is the one
+    response that names its payload). They go under ``path``, or to the session's folder for
+    written tables if none is given.
 
     A null html is an empty payload, a null url an empty target. Of equal payloads of at least
     ``least`` bytes, one of the largest page_id is the response; smaller ones are all
@@ -127,6 +137,7 @@ def write_archive(
         F.when(response, "response").otherwise("revisit").alias("record_type"),
         F.when(~response, F.col("first.page_id")).alias("refers_to"),
         (-F.col("first.back")).alias("refers_copy"),
+        (F.coalesce(own, F.lit(False)) & ~small).alias("carrier"),
     )
     headers = typed.withColumn("header", _header_block()).select(
         "page_id",
@@ -137,40 +148,68 @@ def write_archive(
         "payload_digest",
         "record_type",
         "refers_to",
+        "carrier",
+    )
+    folder = shelf_of(pages.sparkSession).place("archive") if path is None else path
+    headers.write.option("compression", "zstd").parquet(f"{folder}/headers")
+    # any row of a key has the key's content; a task sends one of them
+    payloads = rows.groupBy(F.sha2("payload", 256).alias("sha256")).agg(
+        F.any_value("payload").alias("payload")
     )
-    # the payload travels with the page that names it; of its equal rows one is kept
-    named = rows.where("page_id IS NOT NULL").select(
-        "page_id", F.sha2("payload", 256).alias("sha256"), "payload"
-    )
-    carriers = chosen.select(F.col("first.page_id").alias("page_id"), "sha256")
-    payloads = (
-        named.join(carriers, ["page_id", "sha256"], "left_semi")
-        .dropDuplicates(["page_id", "sha256"])
-        .select("sha256", "payload")
-    )
-    rest = rows.where("page_id IS NULL").select(F.sha2("payload", 256).alias("sha256"), "payload")
-    rest = rest.dropDuplicates(["sha256"]).join(chosen, "sha256", "left_anti")
-    payloads = payloads.unionByName(rest.select("sha256", "payload"))
-    if path is None:
-        return pin(headers, "headers"), pin(payloads, "payloads")
     spark = pages.sparkSession
-    headers.write.parquet(f"{path}/headers")
-    payloads.write.parquet(f"{path}/payloads")
-    return read_archive(spark, path)
+    size = payload_total(copies)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    (
+        payloads.write.bucketBy(buckets, "sha256")
+        .sortBy("sha256")
+        .option("compression", "zstd")
+        .option("path", f"{folder}/payloads")
+        .saveAsTable(_table_name())
+    )
+    layout = spark.createDataFrame([(buckets,)], "buckets int")
+    layout.coalesce(1).write.parquet(f"{folder}/layout")
+    return read_archive(spark, folder)
+
+
+def payload_total(keyed: DataFrame) -> int:
+    """Bytes of all distinct payloads, from their keys."""
+    sizes = keyed.groupBy("sha256").agg(F.max("payload_bytes").alias("size"))
+    return sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).head()[0]
+
+
+def _table_name() -> str:
+    return f"warc_payloads_{uuid.uuid4().hex}"
 
 
 def read_archive(spark, path: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(f"{path}/headers"), spark.read.parquet(f"{path}/payloads")
+    """``headers`` and ``payloads`` of an archive, the latter with its buckets."""
+    buckets = spark.read.parquet(f"{path}/layout").head().buckets
+    name = _table_name()
+    spark.sql(
+        f"CREATE TABLE {name} (sha256 STRING, payload BINARY) USING parquet"
+        f" CLUSTERED BY (sha256) SORTED BY (sha256) INTO {buckets} BUCKETS LOCATION '{path}/payloads'"
+    )
+    return spark.read.parquet(f"{path}/headers"), spark.table(name)
 
 
-def records(headers: DataFrame, payloads: DataFrame, verify: bool = True) -> DataFrame:
+def records(
+    headers: DataFrame, payloads: DataFrame, verify: bool = True, full: bool = True
+) -> DataFrame:
     """Every record of the archive: the columns of ``headers``, payload and record (bytes).
 
-    ``payload`` is the full content also of a revisit; ``record`` is the WARC record, whose
-    block is empty for a revisit. With ``verify`` the query fails on a payload that is missing
-    or does not have the digests and the length that its header says.
+    ``record`` is the WARC record, whose block is empty for a revisit. ``payload`` is the full
+    content; without ``full`` a revisit's is null, and only responses meet the payloads. With
+    ``verify`` the query fails on a payload that is missing or does not have the digests and
+    the length that its header says.
     """
-    whole = headers.join(payloads, "sha256", "left")
+    response = F.col("record_type") == "response"
+    found = headers.where("carrier").join(payloads, "sha256", "left")
+    # all others may share a payload in any number: a key that the buckets do not know brings
+    # both sides to a shuffle, whose large partitions Spark can split
+    others = headers.where(~F.col("carrier") if full else ~F.col("carrier") & response)
+    known = payloads.select(F.upper("sha256").alias("_key"), "payload")
+    shared = others.join(known, F.upper("sha256") == F.col("_key"), "left").drop("_key")
+    whole = found.unionByName(shared)
     if verify:
         right = (
             (F.sha2("payload", 256) == F.col("sha256"))
@@ -183,10 +222,12 @@ def records(headers: DataFrame, payloads: DataFrame, verify: bool = True) -> Dat
                 F.raise_error(F.concat(F.lit("damaged payload "), F.col("sha256"))).cast("binary")
             ),
         )
+    if not full:
+        whole = whole.unionByName(
+            headers.where(~response).withColumn("payload", F.lit(None).cast("binary"))
+        )
     end = F.lit(CRLF).cast("binary")
-    block = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(
-        F.lit("").cast("binary")
-    )
+    block = F.when(response, F.col("payload")).otherwise(F.lit("").cast("binary"))
     return whole.withColumn(
         "record", F.concat(F.col("header").cast("binary"), end, block, end, end)
     )
@@ -199,24 +240,74 @@ def header_field(header: Column, name: str) -> Column:
 
 
 def parse(found: DataFrame) -> DataFrame:
-    """What the records themselves say: per row of ``records``, read from its bytes.
+    """What records say, read from the bytes in column ``record`` and nothing else.
 
-    Gives page_id, url, payload_bytes and payload_digest of the full payload, record_type and
-    refers_to; type and block length come from the header block of the record as stored.
+    Gives page_id (text, null if the record names none), record_id, record_type, refers_to_id,
+    url, block_bytes, block_digest (base 32 SHA-1) and payload_digest (as the header says). Fails
+    on a record that is not one: no header block, another length than it says, no end.
     """
-    # the header block has no empty line, so the first one ends it
-    cut = F.locate(CRLF + CRLF, F.col("header"))
-    header = F.when(cut > 0, F.substr("header", F.lit(1), cut + 1)).otherwise(F.col("header"))
-    return found.select(
-        "page_id",
+    text = F.col("record").cast("string")
+    # a header block has no empty line, so the first one ends it
+    cut = found.select("record", F.substr(text, F.lit(1), F.locate(CRLF + CRLF, text) + 1).alias("head"))
+    start = F.octet_length("head") + 3
+    length = F.octet_length("record") - start + 1 - 4
+    says = header_field(F.col("head"), "Content-Length").cast("long")
+    end = F.substring(F.col("record"), F.octet_length("record") - 3, F.lit(4)).cast("string")
+    whole = F.col("head").startswith("WARC/1.1" + CRLF) & (says == length) & (end == CRLF + CRLF)
+    record = F.when(F.coalesce(whole, F.lit(False)), F.col("record")).otherwise(
+        F.raise_error(F.concat(F.lit("not a record: "), F.col("head"))).cast("binary")
+    )
+    read = cut.select("head", F.substring(record, start, length).alias("block"))
+
+    def says_(name: str) -> Column:
+        return header_field(F.col("head"), name)
+
+    return read.select(
+        says_(PAGE_FIELD).alias("page_id"),
+        says_("WARC-Record-ID").alias("record_id"),
+        says_("WARC-Type").alias("record_type"),
+        says_("WARC-Refers-To").alias("refers_to_id"),
+        says_("WARC-Target-URI").alias("url"),
+        F.octet_length("block").cast("long").alias("block_bytes"),
+        base32_sha1(F.col("block")).alias("block_digest"),
+        F.regexp_replace(says_("WARC-Payload-Digest"), "^sha1:", "").alias("payload_digest"),
+    )
+
+
+def resolve(parsed: DataFrame, page_type: str = "bigint") -> DataFrame:
+    """Per record of ``parse``: page_id, url, payload_bytes, payload_digest, record_type, refers_to.
+
+    A response has the payload in its block; a revisit's is in the record that it refers to,
+    found by WARC-Record-ID, whose page is ``refers_to``. Fails where a payload has not the digest
+    that the record says, or a revisit refers to nothing.
+    """
+    response = F.col("record_type") == "response"
+    held = parsed.where(response).select(
+        F.col("record_id").alias("refers_to_id"),
+        F.col("page_id").alias("referred"),
+        F.col("block_bytes").alias("held_bytes"),
+        F.col("block_digest").alias("held_digest"),
+    )
+    # records of rows without a page_id may share a name, but none refers to these
+    held = held.where("referred IS NOT NULL")
+    revisits = parsed.where(~response).join(held, "refers_to_id", "left")
+    own = parsed.where(response).select(
+        "*",
+        F.lit(None).cast("string").alias("referred"),
+        F.col("block_bytes").alias("held_bytes"),
+        F.col("block_digest").alias("held_digest"),
+    )
+    right = F.coalesce(F.col("held_digest") == F.col("payload_digest"), F.lit(False))
+    digest = F.when(right, F.col("held_digest")).otherwise(
+        F.raise_error(F.concat(F.lit("no such payload: "), F.col("record_id"))).cast("string")
+    )
+    return own.unionByName(revisits).select(
+        F.col("page_id").cast(page_type).alias("page_id"),
         "url",
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        base32_sha1(F.col("payload")).alias("payload_digest"),
-        header_field(header, "WARC-Type").alias("record_type"),
-        "refers_to",
-        header_field(header, "WARC-Record-ID").alias("record_id"),
-        header_field(header, "Content-Length").cast("long").alias("block_bytes"),
-        F.octet_length("record").cast("long").alias("record_bytes"),
+        F.col("held_bytes").alias("payload_bytes"),
+        digest.alias("payload_digest"),
+        "record_type",
+        F.col("referred").cast(page_type).alias("refers_to"),
     )
 
 
