@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auditweave.llm.common import pick
+from auditweave.sources.shelf import pin
 
 ORDER = 4
 #: Labelled documents per language that the fit reads, on average, if there are as many.
@@ -273,16 +274,24 @@ def _count_grams(batches):
 
 
 def _sample(labelled: DataFrame, per_language: int) -> DataFrame:
-    """About ``per_language`` documents of each language, chosen by a hash of the id."""
-    sizes = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    if not sizes:
-        return labelled
-    picked: Column = F.lit(False)
-    for lang, size in sizes.items():
-        share = min(1.0, per_language / size)
-        chance = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
-        picked = picked | ((F.col("lang") == lang) & (chance < share * 1_000_000))
-    return labelled.where(picked)
+    """(lang, text, later): about ``per_language`` documents of each language.
+
+    They are chosen by a hash of id and text, so neither null nor repeated ids matter, and equal
+    documents count once. ``later`` marks those to calibrate with. The document of a language's
+    least hash is always chosen, and never for later: every language is learned.
+    """
+    drawn = labelled.select("lang", "text", F.xxhash64("doc_id", "text").alias("draw"))
+    chance = F.pmod(F.xxhash64("draw", F.lit("sample")), F.lit(1_000_000))
+    sizes = drawn.groupBy("lang").agg(F.count("*").alias("size"), F.min(chance).alias("least"))
+    picked = first = F.lit(False)
+    for r in sizes.collect():
+        mine = F.col("lang") == r.lang
+        share = min(1.0, per_language / r["size"])
+        picked = picked | (mine & ((chance < share * 1_000_000) | (chance == r.least)))
+        first = first | (mine & (chance == r.least))
+    later = F.pmod(F.xxhash64("draw", F.lit("calibrate")), F.lit(CALIBRATE_EVERY)) == 0
+    chosen = drawn.where(picked).groupBy("lang", "draw").agg(F.any_value("text").alias("text"))
+    return chosen.select("lang", "text", (later & ~first).alias("later"))
 
 
 def train(docs: DataFrame, learn_from: Column, per_language: int = SAMPLE_PER_LANGUAGE):
@@ -293,10 +302,9 @@ def train(docs: DataFrame, learn_from: Column, per_language: int = SAMPLE_PER_LA
     """
     spark = docs.sparkSession
     rows = docs.where(learn_from & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    rows = _sample(pick(rows, "doc_id", "lang", "text"), per_language)
-    later = F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(CALIBRATE_EVERY)) == 0
+    rows = pin(_sample(pick(rows, "doc_id", "lang", "text"), per_language), "language-sample")
     grams = (
-        rows.where(~later)
+        rows.where("NOT later")
         .select("lang", "text")
         .mapInArrow(_count_grams, "lang string, hi bigint, lo bigint, n bigint")
         .groupBy("lang", "hi", "lo")
@@ -324,7 +332,7 @@ def train(docs: DataFrame, learn_from: Column, per_language: int = SAMPLE_PER_LA
             )
 
     seen = (
-        rows.where(later)
+        rows.where("later")
         .select("lang", "text")
         .mapInArrow(measure, "lang string, n bigint, cost array<double>, mixed double")
         .where("n > 0")

@@ -1,12 +1,15 @@
 """Approximate nearest neighbours: a navigable small-world graph per shard, results merged.
 
-Rows are dealt to shards of a bounded size by a hash of their id. Each shard becomes a
-hierarchical navigable small-world graph, kept as flat arrays of neighbours, one per
-layer. The queries, in blocks, go to every shard; each shard returns its nearest, scored
-in double precision on the original vectors, and the best of all shards remain.
+Rows are dealt to shards of a bounded size by the range of their length and a hash of their
+id. Each shard becomes a hierarchical navigable small-world graph, kept as flat arrays of
+neighbours, one per layer. The queries, in blocks, go to every shard; each shard returns its
+nearest, scored in double precision on the original vectors, and the best of all shards remain.
 
 For the largest inner product every vector gets one more component that brings all to the same
 length (and 0 in a query); the nearest of equal length are those of the largest inner product.
+A vector much longer than the others would drown their differences in that component, so a
+graph only holds vectors whose lengths differ by less than ``RANGE``, scaled in double precision
+to a longest of 1 before anything is single precision.
 Equal vectors of a shard are one point of its graph, so that copies do not fill each other's
 neighbour lists.
 
@@ -20,7 +23,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -28,9 +31,11 @@ from auditweave.llm.common import pick
 from auditweave.sources.shelf import pin
 
 #: Rows of a shard; queries of a block; blocks that meet one copy of a shard's graph.
-SHARD_ROWS = 8192
+SHARD_ROWS = 32_768
 BLOCK_ROWS = 2048
 BLOCKS_AT_ONCE = 16
+#: The longest vector of a graph is less than this many times as long as the shortest.
+RANGE = 4
 #: Neighbours in upper layers (twice as many in the lowest), breadth of building and search.
 LINKS = 16
 BUILD_BREADTH = 40
@@ -230,16 +235,11 @@ def _build(width: int, links: int, breadth: int):
     def run(table: pa.Table) -> pa.Table:
         ids = table.column("vec_id").to_numpy()
         vectors = _matrix(table.column("vector"), width)
-        # rows of one id count once: that with the least vector
-        order = np.lexsort((*vectors.T[::-1], ids))
-        ids, vectors = ids[order], vectors[order]
-        once = np.concatenate([[True], ids[1:] != ids[:-1]])
-        ids, vectors = ids[once], vectors[once]
         points, place = np.unique(vectors, axis=0, return_inverse=True)
         place = place.ravel()
-        norms = (points**2).sum(axis=1)
-        extra = np.sqrt(np.maximum(norms.max() - norms, 0))
-        graph = Graph(np.column_stack([points, extra]), links, breadth)
+        scaled = _scaled(points)
+        extra = np.sqrt(np.maximum(1 - (scaled**2).sum(axis=1), 0))
+        graph = Graph(np.column_stack([scaled, extra]), links, breadth)
         # places in the graph's order
         where = np.empty(len(points), np.int64)
         where[graph.order] = np.arange(len(points))
@@ -260,12 +260,39 @@ def _build(width: int, links: int, breadth: int):
     return run
 
 
+def _scaled(points: np.ndarray) -> np.ndarray:
+    """``points``, none of them zero, by one factor to a longest of 1; no square can overflow."""
+    points = points / np.abs(points).max()
+    return points / np.sqrt((points**2).sum(axis=1).max())
+
+
+def length_range(vector: Column) -> Column:
+    """The power of RANGE that a vector's length begins, from logarithms."""
+    largest = F.array_max(F.transform(vector, lambda x: F.abs(x)))
+    squares = F.aggregate(vector, F.lit(0.0), lambda s, x: s + F.pow(x / largest, 2.0))
+    return F.floor((F.log2(largest) + F.log2(squares) / 2) / math.log2(RANGE)).cast("int")
+
+
+def _dealt(vectors: DataFrame, shard_rows: int) -> tuple[DataFrame, int]:
+    """``vectors`` with their shard, and the number of shards."""
+    ranged = vectors.withColumn("range", length_range(F.col("vector")))
+    # doubles have about 2100 binary exponents, so this has about 1050 rows at most
+    counts = {r.range: r["count"] for r in ranged.groupBy("range").count().collect()}
+    deal, shards = [], 0
+    for k in sorted(counts):
+        parts = math.ceil(counts[k] / shard_rows)
+        deal.append((k, shards, parts))
+        shards += parts
+    table = vectors.sparkSession.createDataFrame(deal, "range int, first bigint, parts bigint")
+    shard = F.col("first") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))
+    return ranged.join(F.broadcast(table), "range").withColumn("shard", shard), shards
+
+
 def build_index(
-    vectors: DataFrame, width: int, shards: int, links: int = LINKS, breadth: int = BUILD_BREADTH
+    dealt: DataFrame, width: int, links: int = LINKS, breadth: int = BUILD_BREADTH
 ) -> DataFrame:
-    """One row per shard of ``vectors`` (vec_id, vector of doubles) with its graph."""
-    shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard")
-    dealt = vectors.select(shard, "vec_id", "vector")
+    """One row per shard of ``dealt`` (shard, vec_id, vector of doubles) with its graph."""
+    dealt = dealt.select("shard", "vec_id", "vector")
     return dealt.groupBy("shard").applyInArrow(_build(width, links, breadth), _INDEX)
 
 
@@ -280,7 +307,7 @@ def _search(width: int, k: int, breadth: int):
             for n, m in np.frombuffer(row["layers"], np.int64).reshape(-1, 2).tolist():
                 layers.append(flat[at : at + n * m].reshape(n, m))
                 at += n * m
-            graph = Graph.load(exact.astype(np.float32), layers)
+            graph = Graph.load(_scaled(exact).astype(np.float32), layers)
             first = np.searchsorted(place, np.arange(len(exact)))
             last = np.searchsorted(place, np.arange(len(exact)), side="right")
             for block in right.column("block").to_pylist():
@@ -288,7 +315,9 @@ def _search(width: int, k: int, breadth: int):
                 names = [q["vec_id"] for q in block]
                 for i in range(0, len(block), BATCH):
                     part = queries[i : i + BATCH]
-                    found = graph.search(part.astype(np.float32), max(breadth, k + 1))
+                    # only the order of a query's scores matters to the walk
+                    unit = np.concatenate([_scaled(q[None, :]) for q in part])
+                    found = graph.search(unit.astype(np.float32), max(breadth, k + 1))
                     for j, points in enumerate(found):
                         points = points[points >= 0]
                         scores = exact[points] @ part[j]
@@ -340,9 +369,9 @@ def nearest(
     most = widths.orderBy(F.desc("count"), "width").first()
     width = most.width if most else 1
     usable = usable.where(F.size("vector") == width)
-    rows = most["count"] if most else 0
-    shards = max(1, math.ceil(rows / shard_rows))
-    index = pin(build_index(usable, width, shards, links, build_breadth), "graphs")
+    usable = usable.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    dealt, shards = _dealt(usable, shard_rows)
+    index = pin(build_index(dealt, width, links, build_breadth), "graphs")
 
     asked = _usable(queries).where(F.size("vector") == width)
     asked = asked.groupBy("vec_id").agg(F.min("vector").alias("vector"))
@@ -355,7 +384,7 @@ def nearest(
         .agg(F.collect_list(F.struct("vec_id", "vector")).alias("block"))
         .select(F.pmod("number", F.lit(n_sets)).alias("set"), "block")
     )
-    every_shard = blocks.withColumn("shard", F.explode(_numbers(shards)))
+    every_shard = blocks.withColumn("shard", F.explode(_numbers(max(shards, 1))))
     every_set = index.withColumn("set", F.explode(_numbers(n_sets)))
     found = (
         every_set.groupBy("shard", "set")

@@ -366,12 +366,11 @@ def near_duplicates(
 def keep_one(
     docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, hot: int = HOT
 ) -> DataFrame:
-    """One row of ``docs`` for each component, and one of its rows without an id.
+    """One row of ``docs`` for each component.
 
     All columns stay. Rows are told apart by themselves, not by their id: of a component's rows
-    the one with the least doc_id stays, of equal ids the one with the least fingerprint, then
-    hash of the text, then hash of all columns. A row without an id never stands for rows with
-    one, nor they for it, so such a component keeps one row of either kind.
+    the one with the least doc_id stays, rows without an id last, of equal ids the one with the
+    least fingerprint, then hash of the text, then hash of all columns.
     """
     names = docs.columns
     flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
@@ -387,13 +386,13 @@ def keep_one(
         text.alias("text"),
     )
     marked = _marked(rows, shingle)
-    least = F.min(F.struct("doc_id", "code", "text_hash", "row_hash", "row"))
-    firsts = marked.groupBy("code", F.isnull("doc_id").alias("unnamed")).agg(least.alias("first"))
-    firsts = pin(firsts, "entries")
-    classed = _classed(firsts.select("code").distinct(), max_bits, hot)
+    unnamed = F.isnull("doc_id").alias("unnamed")
+    least = F.min(F.struct(unnamed, "doc_id", "code", "text_hash", "row_hash", "row"))
+    firsts = pin(marked.groupBy("code").agg(least.alias("first")), "entries")
+    classed = _classed(firsts.select("code"), max_bits, hot)
     kept = (
         firsts.join(classed, "code")
-        .groupBy("component", "unnamed")
+        .groupBy("component")
         .agg(F.min("first").alias("first"))
         .select("first.row")
     )
