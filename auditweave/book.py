@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from auditweave.functions.anchors import Anchors
+from auditweave.operators.measure import Meter, NoMeter
 from auditweave.sources.catalog import Sources
 from auditweave.sources.shelf import shelf_of
 
@@ -37,17 +38,21 @@ class AuditBook:
         tag: str | None = None,
         exempt_vendors: tuple[str, ...] = (),
         automation_users: tuple[str, ...] = (),
+        meter: Meter | NoMeter | None = None,
     ):
         """``tag`` names the sources' content; books with equal tag, anchors and parameters
         share their written tables. Without a tag a book shares with no other.
 
         ``exempt_vendors`` are ids whose repeated order amounts are expected.
         ``automation_users`` are parts of user names under which software keys invoices.
+        ``meter`` counts rows on the way; a book with one should have no tag, as a table that
+        is shared is not written, and so not counted, again.
         """
         self.src = sources
         self.anchors = anchors or Anchors.now()
         self.exempt_vendors = tuple(exempt_vendors)
         self.automation_users = tuple(automation_users)
+        self.meter = meter or NoMeter()
         self._tag = (tag or uuid.uuid4().hex, self.exempt_vendors, self.automation_users)
         self._kept: dict[str, DataFrame] = {}
 
@@ -79,8 +84,19 @@ class AuditBook:
                 self._kept[name] = self.plan(name)
         return self._kept[name]
 
-    def _shared(self, name: str) -> DataFrame:
+    @property
+    def spark(self) -> SparkSession:
         # a thread of its own has no active session; the application's is the same one
-        spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
-        shelf = shelf_of(spark)
-        return shelf.keep((self._tag, self.anchors, name), lambda: self.plan(name))
+        return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+
+    def _shared(self, name: str) -> DataFrame:
+        key = (self._tag, self.anchors, name)
+        return shelf_of(self.spark).keep(key, lambda: self.plan(name))
+
+    def place(self, name: str) -> str:
+        """A new folder for a table that a plan writes itself."""
+        return shelf_of(self.spark).place(name)
+
+    def once(self, name: str, build):
+        """What ``build`` returns; books that share their written tables share it too."""
+        return shelf_of(self.spark).hold((self._tag, self.anchors, "once", name), build)

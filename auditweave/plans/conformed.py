@@ -18,7 +18,7 @@ PAYMENT_DOCS = ["ZP"]
 INVOICE_DOCS = ["Y0", "VN", "RN", "YM", "VS", "FI", "FN", "FR", "ZF"]
 UNCLEARED = "00000000"
 
-_LINE_KEY = ["h_document_number", "d_buzei_line_item"]
+LINE_KEY = ["h_document_number", "d_buzei_line_item"]
 
 
 def ariba_po_invoice(book) -> DataFrame:
@@ -77,10 +77,16 @@ def ariba_po_invoice(book) -> DataFrame:
     vendors = scope_columns(
         book, "vendor_id", "supplier_custom_category_l1", L2, "supplier_custom_category_l3"
     )
-    return (
-        orders.join(vendors, F.col("vendor_number") == F.col("vendor_id"))
-        .drop("vendor_id")
-        .join(invoices, F.col("po_order_id") == F.col("po_number"), "left")
+    scoped = book.meter.join(
+        orders,
+        "ariba_po_invoice: categories",
+        lambda rows: rows.join(vendors, F.col("vendor_number") == F.col("vendor_id")).drop("vendor_id"),
+    )
+    return book.meter.join(
+        scoped,
+        "ariba_po_invoice: invoices",
+        lambda rows: rows.join(invoices, F.col("po_order_id") == F.col("po_number"), "left"),
+        "invoice_id",
     )
 
 
@@ -92,17 +98,21 @@ def _paid_by_document(start: Column) -> Column:
     return (F.col("d_clearing") != UNCLEARED) & (F.col("h_posting_date") > start)
 
 
+def _payment_documents(ledger: DataFrame) -> DataFrame:
+    return ledger.filter(
+        F.col("h_document_type").isin(PAYMENT_DOCS) & (F.col("h_company_code") == COMPANY)
+    )
+
+
 def payment_lines(book) -> DataFrame:
     """Ledger lines that either branch of ``base_payment`` needs, by one scan."""
     start = months_before(book.today, 24)
-    return book.src.ledger.filter(
-        F.col("h_document_type").isin(PAYMENT_DOCS)
-        & (F.col("h_company_code") == COMPANY)
-        & (_paid_by_vendor(start) | _paid_by_document(start))
+    return _payment_documents(book.src.ledger).filter(
+        (_paid_by_vendor(start) | _paid_by_document(start))
         # implied by the line above, but all of it can go to the scan
         & (erp_text_from("h_document_date", start) | _paid_by_document(start))
     ).select(
-        *_LINE_KEY,
+        *LINE_KEY,
         "h_document_date",
         "h_posting_date",
         "d_vendor",
@@ -116,32 +126,53 @@ def payment_lines(book) -> DataFrame:
 
 def base_payment(book) -> DataFrame:
     """Signed payment amounts per vendor, payment date, account and clearing document."""
-    src, start = book.src, months_before(book.today, 24)
+    start = months_before(book.today, 24)
+    shape = [*payment_shape(), *LINE_KEY]
+    stored = book.src.clustered("ledger", *LINE_KEY)
+    if stored is not None:
+        # joined by document where they lie; the few vendors in scope come to the other branch
+        return payments_from(
+            book,
+            _payment_documents(book.src.ledger).filter(_paid_by_vendor(start)).select(*shape),
+            _payment_documents(stored).filter(_paid_by_document(start)).select(*shape),
+        )
     ledger = pin(payment_lines(book), "payment-lines")
+    return payments_from(
+        book,
+        ledger.filter(_paid_by_vendor(start)).select(*shape),
+        ledger.filter(_paid_by_document(start)).select(*shape),
+    )
+
+
+def payment_shape() -> list[Column]:
+    """A payment line's own columns of the view."""
     sign = F.when(F.col("d_shkzg_debit_credit_ind") == "H", -F.col("d_amount_in_lc"))
-    shaped = [
-        F.coalesce("d_vendor", "vendor_id").alias("d_vendor"),
-        F.col("supplier_name").alias("vendor_name"),
-        F.col(L2),
+    return [
+        F.col("d_vendor"),
         erp_date("h_document_date").alias("payment_date"),
         F.col("d_gl_account"),
         sign.otherwise(F.col("d_amount_in_lc")).alias("amount"),
         erp_date("d_clearing").alias("payment_date_appears_in_vendor_account"),
         F.col("d_clrng_doc").alias("payment_clearing_doc"),
     ]
-    by_vendor = (
-        ledger.filter(_paid_by_vendor(start))
-        .join(
-            scope_columns(book, "vendor_id", "supplier_name", L2),
-            F.col("d_vendor") == F.col("vendor_id"),
-        )
-        .select(*shaped)
-    )
-    by_document = (
-        ledger.filter(_paid_by_document(start))
-        .join(_spend_documents(src), _same_document())
-        .select(*shaped)
-    )
+
+
+def payments_from(book, vendor_lines: DataFrame, document_lines: DataFrame) -> DataFrame:
+    """The view from shaped lines of its two branches."""
+    shaped = [
+        F.coalesce("d_vendor", "vendor_id").alias("d_vendor"),
+        F.col("supplier_name").alias("vendor_name"),
+        F.col(L2),
+        *[F.col(c) for c in (
+            "payment_date", "d_gl_account", "amount",
+            "payment_date_appears_in_vendor_account", "payment_clearing_doc",
+        )],
+    ]
+    by_vendor = vendor_lines.join(
+        scope_columns(book, "vendor_id", "supplier_name", L2),
+        F.col("d_vendor") == F.col("vendor_id"),
+    ).select(*shaped)
+    by_document = document_lines.join(_spend_documents(book.src), _same_document()).select(*shaped)
     keys = [c for c in by_vendor.columns if c != "amount"]
     # Removing the blank vendor first is the same as removing it last and shuffles less.
     return (
@@ -155,13 +186,17 @@ def base_payment(book) -> DataFrame:
 
 def invoice_lines(book) -> DataFrame:
     """Ledger lines that both branches of ``sap_invoices`` read, by one scan."""
-    ledger = book.src.ledger.filter(
+    return _invoice_lines(book, book.src.ledger)
+
+
+def _invoice_lines(book, ledger: DataFrame) -> DataFrame:
+    ledger = ledger.filter(
         (F.col("h_company_code") == COMPANY)
         & F.col("h_document_type").isin(INVOICE_DOCS)
         & erp_date_between("h_document_date", months_before(book.today, 24))
     ).withColumn("system", invoice_origin(book.automation_users))
     return ledger.filter(F.col("system") != "").select(
-        *_LINE_KEY,
+        *LINE_KEY,
         "h_document_date",
         "h_docheader_text",
         "h_reference",
@@ -179,7 +214,11 @@ def invoice_lines(book) -> DataFrame:
 def sap_invoices(book) -> DataFrame:
     """Distinct ledger invoice lines of the last 24 months with their origin system."""
     src = book.src
-    ledger = pin(invoice_lines(book), "invoice-lines")
+    stored = src.clustered("ledger", *LINE_KEY)
+    if stored is None:
+        vendor_side = document_side = pin(invoice_lines(book), "invoice-lines")
+    else:
+        vendor_side, document_side = invoice_lines(book), _invoice_lines(book, stored)
 
     def shaped(vendor: Column) -> list[Column]:
         return [
@@ -198,10 +237,10 @@ def sap_invoices(book) -> DataFrame:
             F.col("system"),
         ]
 
-    by_document = ledger.join(_spend_documents(src), _same_document()).select(
+    by_document = document_side.join(_spend_documents(src), _same_document()).select(
         *shaped(F.coalesce("d_vendor", "vendor_id"))
     )
-    by_vendor = ledger.join(
+    by_vendor = vendor_side.join(
         scope_columns(book, "vendor_id", "supplier_name", L2),
         F.col("d_vendor") == F.col("vendor_id"),
     ).select(*shaped(F.col("d_vendor")))
@@ -228,25 +267,42 @@ def _same_document() -> Column:
 
 def sap_po(book) -> DataFrame:
     """Purchase orders of the last 24 months summed over their schedule lines."""
-    src = book.src
-    lines = (
-        src.po_schedule_line.filter(
+    lines = order_lines(
+        book.src.po_schedule_line.filter(
             (F.col("purchasing_document_date") >= months_before(book.today, 24))
             & (F.col("purchasing_organization") == COMPANY)
         )
-        .select(
-            "purchasing_document_number",
-            "purchasing_document_item",
-            F.col("vendor").alias("line_vendor"),
-            "purchasing_document_date",
-            "document_last_changed_on",
-            "purchasing_item_short_text",
-            "gross_order_value",
-            "net_order_value",
-            "document_currency",
-        )
-        .distinct()
     )
+    return orders_from(book, lines, "gross_order_value", "net_order_value")
+
+
+def order_lines(lines: DataFrame, *more: str) -> DataFrame:
+    """Distinct schedule lines."""
+    return lines.select(
+        "purchasing_document_number",
+        "purchasing_document_item",
+        F.col("vendor").alias("line_vendor"),
+        "purchasing_document_date",
+        "document_last_changed_on",
+        "purchasing_item_short_text",
+        "gross_order_value",
+        "net_order_value",
+        "document_currency",
+        *more,
+    ).distinct()
+
+
+def order_sums(gross: str, net: str) -> list[Column]:
+    return [
+        F.max("document_last_changed_on").alias("document_last_changed_on"),
+        F.max("purchasing_item_short_text").alias("purchasing_item_short_text"),
+        F.sum(gross).alias("po_amount_gross"),
+        F.sum(net).alias("po_amount_net"),
+    ]
+
+
+def orders_from(book, lines: DataFrame, gross: str, net: str) -> DataFrame:
+    """The view from lines or from partial sums of them."""
     vendors = scope_columns(book, "vendor_id", "supplier_name", L2)
     return (
         lines.join(vendors, strip_zeros("line_vendor") == strip_zeros("vendor_id"))
@@ -258,12 +314,7 @@ def sap_po(book) -> DataFrame:
             "purchasing_document_date",
             "document_currency",
         )
-        .agg(
-            F.max("document_last_changed_on").alias("document_last_changed_on"),
-            F.max("purchasing_item_short_text").alias("purchasing_item_short_text"),
-            F.sum("gross_order_value").alias("po_amount_gross"),
-            F.sum("net_order_value").alias("po_amount_net"),
-        )
+        .agg(*order_sums(gross, net))
     )
 
 

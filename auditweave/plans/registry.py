@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from auditweave.plans import conformed, readings, scope, unions, vendor_tables
+from auditweave.plans import conformed, finance_transactions, findings, monthly_features, readings, rolling, scope, unions, vendor_tables
 from auditweave.plans.controls import approvals, invoices, orders, payments, vendors
 
 Plan = Callable[..., DataFrame]
@@ -106,6 +106,27 @@ UNIONS: dict[str, Plan] = {
     )
 }
 
+#: Extensions: hits of all controls and what is made of them, and the finance-system branch.
+FINDINGS: dict[str, Plan] = {
+    f.__name__: f
+    for f in (
+        findings.control_hits,
+        findings.vendor_control_summary,
+        findings.case_brief_inputs,
+        finance_transactions.sap_transaction,
+    )
+}
+
+#: Views kept by month, each equal to the view rebuilt in full.
+ROLLING: dict[str, Plan] = {
+    f.__name__: f
+    for f in (
+        rolling.base_payment_rolling,
+        rolling.sap_po_rolling,
+        monthly_features.vendor_windowed_features_monthly,
+    )
+}
+
 READINGS: dict[str, Plan] = {
     f.__name__: f
     for f in (
@@ -125,4 +146,4 @@ READINGS: dict[str, Plan] = {
 
 #: What an audit runs unless told otherwise.
 AUDIT: dict[str, Plan] = {**CONFORMED, **VENDOR_TABLES, **CONTROLS, **UNIONS}
-PLANS: dict[str, Plan] = {**AUDIT, **READINGS}
+PLANS: dict[str, Plan] = {**AUDIT, **FINDINGS, **ROLLING, **READINGS}

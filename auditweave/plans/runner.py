@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from auditweave.book import AuditBook
+from auditweave.operators.measure import Measure
+from auditweave.plans.findings import HITS
 from auditweave.plans.registry import AUDIT, PLANS, VENDOR_TABLES
 
 # How a reader expects each report to be sorted. Sorting is a property of the sink: nothing
@@ -49,6 +51,8 @@ PRESENTATION_ORDER: dict[str, list[str]] = {
 class RunReport:
     written: dict[str, str] = field(default_factory=dict)
     skipped: dict[str, str] = field(default_factory=dict)
+    #: by plan, and by join as "plan: join"; empty unless the book has a meter
+    measured: dict[str, Measure] = field(default_factory=dict)
 
 
 def run_audit(
@@ -80,7 +84,8 @@ def run_audit(
             df = book.plan(name)
             if sort and name in PRESENTATION_ORDER:
                 df = df.orderBy(*[F.asc(c) for c in PRESENTATION_ORDER[name]])
-            df.write.parquet(path)
+            keys = [HITS[name].vendor, HITS[name].entity] if name in HITS else []
+            book.meter.rows(df, name, *dict.fromkeys(keys)).write.parquet(path)
         except (AttributeError, AnalysisException) as error:  # a source that is not there
             if strict or name in VENDOR_TABLES:
                 raise
@@ -90,6 +95,7 @@ def run_audit(
         book.store(name, spark.read.schema(df.schema).parquet(path))
         _note(spark, out_dir, run, name, path)
         report.written[name] = path
+    report.measured = book.meter.report()
     return report
 
 

@@ -197,25 +197,33 @@ def base_transaction(book) -> DataFrame:
     )
     # only what the rows need is ranked and summed, not the whole history
     needed = book.table("ariba_po_invoice").select("requisition_id", "po_number").distinct()
-    joined = (
-        grain.join(
-            last_approver(book, needed.select(F.col("requisition_id").alias("approvable_id"))),
-            F.col("requisition_id") == F.col("approvable_id"),
-            "left",
-        )
-        .drop("approvable_id")
-        .join(
+    approvers = last_approver(book, needed.select(F.col("requisition_id").alias("approvable_id")))
+    lines = po_line_level(book, needed.select(F.col("po_number").alias("po_order_id")))
+    joined = book.meter.join(
+        grain,
+        "base_transaction: approver",
+        lambda rows: rows.join(
+            approvers, F.col("requisition_id") == F.col("approvable_id"), "left"
+        ).drop("approvable_id"),
+        "approved_by_user",
+    )
+    joined = book.meter.join(
+        joined,
+        "base_transaction: limit",
+        lambda rows: rows.join(
             book.table("doa_unique"),
             F.col("approved_by_user") == F.col("approved_by_user_upper"),
             "left",
-        )
-        .drop("approved_by_user_upper")
-        .join(
-            po_line_level(book, needed.select(F.col("po_number").alias("po_order_id"))),
-            F.col("po_number") == F.col("po_order_id"),
-            "left",
-        )
-        .drop("po_order_id")
+        ).drop("approved_by_user_upper"),
+        "approver_doa_annual_limit",
+    )
+    joined = book.meter.join(
+        joined,
+        "base_transaction: line totals",
+        lambda rows: rows.join(lines, F.col("po_number") == F.col("po_order_id"), "left").drop(
+            "po_order_id"
+        ),
+        "po_line_item_count",
     )
     spend = F.col("po_spend").cast("double")
     blank = F.lit("NULL")
@@ -255,6 +263,7 @@ def vendor_windowed_features(book) -> DataFrame:
     """
     today = book.local_today
     rows = book.table("base_transaction").filter(F.col("vendor_number").isNotNull())
+    rows = book.meter.rows(rows, "vendor_windowed_features: order rows", "po_number")
     labels = list(WINDOWS)
 
     def money(value: Column, like: str) -> Column:
@@ -267,8 +276,11 @@ def vendor_windowed_features(book) -> DataFrame:
         return F.count(F.when(F.col(flag), 1))
 
     # undo the fan-out of order spend: one row per order with its largest spend
-    orders = rows.groupBy("vendor_number", "po_number").agg(
-        F.min("po_date").alias("po_date"), F.max("po_spend").alias("po_spend")
+    orders = book.meter.rows(
+        rows.groupBy("vendor_number", "po_number").agg(
+            F.min("po_date").alias("po_date"), F.max("po_spend").alias("po_spend")
+        ),
+        "vendor_windowed_features: orders",
     )
     po_part = orders.groupBy("vendor_number").agg(
         *[

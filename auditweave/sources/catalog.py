@@ -37,6 +37,7 @@ class Sources:
             raise KeyError(f"not a known source: {unknown}")
         self._readers = dict(readers)
         self._frames: dict[str, DataFrame] = {}
+        self._clustered: dict[tuple[str, tuple[str, ...]], Callable[[], DataFrame]] = {}
 
     @classmethod
     def from_paths(
@@ -107,6 +108,24 @@ class Sources:
             self._frames[name] = df
         return self._frames[name]
 
+    def bind_clustered(
+        self, name: str, keys: tuple[str, ...], reader: Callable[[], DataFrame]
+    ) -> None:
+        """Bind a copy of a source that is stored in buckets by ``keys``, see ``buckets``."""
+        if name not in LAYOUTS:
+            raise KeyError(f"not a known source: {[name]}")
+        self._clustered[name, tuple(keys)] = reader
+
+    def clustered(self, name: str, *keys: str) -> DataFrame | None:
+        """The copy of a source in buckets by ``keys``, if one is bound."""
+        reader = self._clustered.get((name, keys))
+        if reader is None:
+            return None
+        df = reader()
+        if wrong := misfits(name, df):
+            raise TypeError(f"source {name!r} does not fit its layout: {'; '.join(wrong)}")
+        return df
+
     def names(self) -> list[str]:
         return sorted(self._readers)
 

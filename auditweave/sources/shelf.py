@@ -9,7 +9,9 @@ the folder is emptied: storage that Spark writes to is the operator's to clean,
 
 from __future__ import annotations
 
+import itertools
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,21 +26,31 @@ class Shelf:
         root = root or tempfile.mkdtemp(prefix="auditweave-")
         self._spark = spark
         self.folder = f"{root.rstrip('/')}/auditweave-{uuid.uuid4().hex}"
-        self._count = 0
+        self._count = itertools.count(1)
         self._kept: dict[tuple, DataFrame] = {}
+        self._building: dict[tuple, threading.RLock] = {}
+
+    def place(self, name: str) -> str:
+        """A new folder for a table that its owner writes."""
+        return f"{self.folder}/{next(self._count):05d}-{name}"
 
     def put(self, df: DataFrame, name: str = "table") -> DataFrame:
         """Write ``df`` and return the written table."""
-        self._count += 1
-        path = f"{self.folder}/{self._count:05d}-{name}"
+        path = self.place(name)
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
     def keep(self, key: tuple, build) -> DataFrame:
         """The written table for ``key``, built on first use."""
-        if key not in self._kept:
-            self._kept[key] = self.put(build(), str(key[-1]))
-        return self._kept[key]
+        return self.hold(key, lambda: self.put(build(), str(key[-1])))
+
+    def hold(self, key: tuple, build):
+        """What ``build`` returned on first use; it writes what it has to write itself."""
+        # plans may be built by several threads; what they share is built by one of them
+        with self._building.setdefault(key, threading.RLock()):
+            if key not in self._kept:
+                self._kept[key] = build()
+            return self._kept[key]
 
 
 _SHELVES: dict[str, Shelf] = {}
