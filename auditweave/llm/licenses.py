@@ -102,6 +102,9 @@ VARIANTS = 60
 SHINGLE = 5
 #: Share of common shingles that confirms a find.
 CONFIRM = 0.8
+#: Words without a template's pairs that a notice inside a line may hold, and its least words.
+GAP = 6
+SHORTEST = 3
 #: Share of calibration paragraphs that may pass for a licence.
 FALSE_FINDS = 0.001
 LOAD_WORDS = 300_000
@@ -123,6 +126,19 @@ def agreement(words: list[bytes], templates: list[set[tuple]]) -> float:
     return best
 
 
+def contained(paragraph: list[bytes], templates: list[set]) -> float:
+    """The largest share of a template's shingles that the paragraph holds."""
+    mine: dict[int, set] = {}
+    best = 0.0
+    for other in templates:
+        if other:
+            n = len(next(iter(other)))  # a short template is one shingle of its own length
+            if n not in mine:
+                mine[n] = {tuple(paragraph[i : i + n]) for i in range(len(paragraph) - n + 1)}
+            best = max(best, len(mine[n] & other) / len(other))
+    return best
+
+
 class Features:
     """Sparse rows of many paragraphs at once."""
 
@@ -136,8 +152,9 @@ class Features:
         self.pairs = np.array(sorted(pairs), np.int64)
         self.size = len(names) + len(self.pairs) + 1  # the last: words of no template
 
-    def rows(self, paragraphs: list[list[bytes]]):
-        """(paragraph, feature, share) of all features that are not 0."""
+    def _places(self, paragraphs: list[list[bytes]]):
+        """Of all words in a row: their number in the templates, their paragraph, and where
+        pairs of the templates begin, with the number of the pair."""
         sizes = np.fromiter(map(len, paragraphs), np.int64, len(paragraphs))
         total = int(sizes.sum())
         flat = chain.from_iterable(paragraphs)
@@ -149,6 +166,24 @@ class Features:
         codes = place[both] * len(self.word) + place[both + 1]
         at = np.minimum(np.searchsorted(self.pairs, codes), len(self.pairs) - 1)
         both, at = both[self.pairs[at] == codes], at[self.pairs[at] == codes]
+        return sizes, place, owner, both, at
+
+    def stretches(self, paragraphs: list[list[bytes]], gap: int):
+        """(paragraph, first word, end) of the stretches with template pairs at most ``gap``
+        words apart."""
+        sizes, _, owner, both, _ = self._places(paragraphs)
+        if not len(both):
+            return
+        new = np.append(True, (np.diff(both) > gap + 1) | (np.diff(owner[both]) > 0))
+        first = both[new]
+        end = np.append(both[np.flatnonzero(new)[1:] - 1], both[-1]) + 2
+        begin = (np.cumsum(sizes) - sizes)[owner[first]]
+        yield from zip(owner[first].tolist(), (first - begin).tolist(), (end - begin).tolist())
+
+    def rows(self, paragraphs: list[list[bytes]]):
+        """(paragraph, feature, share) of all features that are not 0."""
+        sizes, place, owner, both, at = self._places(paragraphs)
+        known = np.flatnonzero(place >= 0)
         unknown = np.flatnonzero(place < 0)
         rows = np.concatenate([owner[known], owner[both], owner[unknown]])
         cols = np.concatenate(
@@ -246,7 +281,9 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None) -
     """Per row of ``docs`` (doc_id, text) the licences that its paragraphs state.
 
     A paragraph is a line with a word (ASCII letters in lower case, digits, characters beyond
-    ASCII). Gives doc_id, n_paragraphs, n_found (paragraphs of a family), n_confirmed (those
+    ASCII). One that is nothing as a whole is searched for a notice inside it: the stretches with
+    word pairs of the templates are classified by themselves, and count if the family's
+    template is there to ``CONFIRM``. Gives doc_id, n_paragraphs, n_found (paragraphs of a family), n_confirmed (those
     that agree with a template of it), families and confirmed (names, ordered, each once) and
     probability (the largest of a found paragraph, else null).
 
@@ -257,8 +294,8 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None) -
     rows = pick(docs, "doc_id", "text")
     model = docs.sparkSession.sparkContext.broadcast(fit(_sample(docs), templates))
 
-    def decide(state, paragraphs):
-        """(paragraph, family, probability, confirmed) of each find."""
+    def classify(state, paragraphs):
+        """(paragraph, family, probability) of each that is in a family."""
         p = _probabilities(
             _logits(state["features"], state["weights"], state["bias"], paragraphs)
         )
@@ -266,9 +303,26 @@ def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None) -
         chance = p[np.arange(len(p)), best]
         unknown = len(state["templates"])
         for i in np.flatnonzero((best != unknown) & (chance >= state["least"])).tolist():
-            family = state["families"][best[i]]
-            sure = agreement(paragraphs[i], state["shingles"][family]) >= CONFIRM
-            yield i, family, float(chance[i]), sure
+            yield i, state["families"][best[i]], float(chance[i])
+
+    def decide(state, paragraphs):
+        """(paragraph, family, probability, confirmed) of each find."""
+        found = set()
+        for i, family, chance in classify(state, paragraphs):
+            found.add(i)
+            yield i, family, chance, agreement(paragraphs[i], state["shingles"][family]) >= CONFIRM
+        # the others may hold a notice in a longer line
+        others = [i for i in range(len(paragraphs)) if i not in found]
+        places = state["features"].stretches([paragraphs[i] for i in others], GAP)
+        inside = [(others[i], paragraphs[others[i]][a:b]) for i, a, b in places if b - a >= SHORTEST]
+        best: dict[int, tuple[float, str]] = {}
+        if inside:
+            for j, family, chance in classify(state, [words for _, words in inside]):
+                at, words = inside[j]
+                if contained(words, state["shingles"][family]) >= CONFIRM:
+                    best[at] = max(best.get(at, (0.0, "")), (chance, family))
+        for at, (chance, family) in sorted(best.items()):
+            yield at, family, chance, True
 
     def run(batches):
         state = model.value
