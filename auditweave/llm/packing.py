@@ -10,8 +10,10 @@ task that sees all rows: the rounds order the chunks, and a distributed running
 them in windows.
 
 A task cuts the documents it reads into chunks source by source. What is left of a source
-at the end of a task, less than a chunk, carries its ids and goes behind the chunks, where
-it is cut at window borders again. So all windows but the last are full.
+at the end of a task, less than a chunk, carries its ids. A running sum joins what all tasks
+left of a source, it is cut into chunks again, and these go to the end of the source's queue.
+Less than a chunk per source then remains, whatever the number of tasks; it goes behind the
+chunks, where it is cut at window borders. So all windows but the last are full.
 """
 
 from __future__ import annotations
@@ -107,8 +109,8 @@ def _cutter(state, window: int, chunk: int, end_id: int, keep_ids: bool, names:
     return run
 
 
-def _split_rest(window: int, names: list[str]):
-    """Cuts the left-over pieces at window borders."""
+def _split_rest(window: int):
+    """Cuts pieces at places that are multiples of ``window``."""
 
     def run(batches):
         for batch in batches:
@@ -173,13 +175,36 @@ def pack(
     # written once: which task read which rows must not change between the steps below
     cut = pin(rows.mapInArrow(_cutter(state, window, chunk, end_id, with_ids, names), schema), "cut")
     full = cut.where("k >= 0")
-    rest = cut.where("k < 0")
 
     # number of full chunks by source and task; a source has one row per task here
     held = full.groupBy("source", "part").agg((F.max("k") + 1).alias("chunks"))
     before = W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     bases = held.withColumn("base", F.coalesce(F.sum("chunks").over(before), F.lit(0)))
     queues = held.groupBy("source").agg(F.sum("chunks").alias("queue"))
+    # what tasks have left of a source, one behind the other, is cut into chunks again
+    left = running_offset(cut.where("k < 0"), ["source", "part", "at"], "length", "pos")
+    ends = left.groupBy("source").agg(
+        F.min("pos").alias("first"), F.floor(F.sum("length") / chunk).alias("more")
+    )
+    left = left.join(ends, "source").withColumn("pos", F.col("pos") - F.col("first")).drop("first")
+    left = pin(left.mapInArrow(_split_rest(chunk), left.schema), "left")
+    tails = queues.select("source", F.col("queue").alias("tail"))
+    again = (
+        left.where(F.col("pos") < F.col("more") * chunk)
+        .join(tails, "source", "left")
+        .withColumns(
+            {
+                "number": F.coalesce("tail", F.lit(0)) + F.floor(F.col("pos") / chunk),
+                "at": F.col("pos") % chunk,
+                "ids": F.col("ids") if with_ids else F.lit(None).cast("binary"),
+            }
+        )
+    )
+    queues = (
+        queues.unionByName(ends.select("source", F.col("more").alias("queue")))
+        .groupBy("source")
+        .agg(F.sum("queue").alias("queue"))
+    )
     if mixture is None:
         weight = F.col("queue").cast("double")
     else:
@@ -189,11 +214,14 @@ def pack(
     total = queues.agg(F.sum("weight")).first()[0] or 1.0
     shares = queues.select("source", (F.col("weight") / total).alias("share"))
     credit = F.col("share") * window
-    number = F.col("base") + F.col("k")
+    numbered = full.join(bases.select("source", "part", "base"), ["source", "part"]).withColumn(
+        "number", F.col("base") + F.col("k")
+    )
+    piece = ["doc_id", "source", "start", "length", "ids_crc32", "doc_tokens", "ids", "number", "at"]
     rounds = (
-        full.join(bases.select("source", "part", "base"), ["source", "part"])
+        numbered.select(*piece)
+        .unionByName(again.select(*piece))
         .join(shares, "source")
-        .withColumn("number", number)
         .withColumn(
             "round",
             F.when(
@@ -203,14 +231,15 @@ def pack(
     )
     out = ["doc_id", "source", "start", "length", "ids_crc32", "doc_tokens", "pos", "ids"]
     placed = running_offset(rounds, ["round", "source", "number", "at"], "length", "pos").select(*out)
-    # the left-over pieces follow
-    filled = full.agg(F.sum("length")).first()[0] or 0
+    # the last pieces of each source follow
+    filled = queues.agg(F.sum("queue")).first()[0] or 0
+    last = left.where(F.col("pos") >= F.col("more") * chunk).withColumnRenamed("pos", "at_source")
     behind = (
-        running_offset(rest, ["part", "source", "at"], "length", "pos")
-        .withColumn("pos", F.col("pos") + filled)
+        running_offset(last, ["source", "at_source"], "length", "pos")
+        .withColumn("pos", F.col("pos") + filled * chunk)
         .select(*out)
     )
-    behind = behind.mapInArrow(_split_rest(window, out), behind.schema)
+    behind = behind.mapInArrow(_split_rest(window), behind.schema)
     packed = placed.unionByName(behind).select(
         "doc_id",
         "source",
