@@ -22,7 +22,10 @@ from auditweave.llm.pretokens import LONGEST_KEPT, PieceCache, pieces
 TABLE_SIZE = 32_768
 #: Texts encoded at once.
 BATCH = 64
-_MERGERS = 16
+#: Summaries that one merge takes, and how many merges follow each other: the driver gets one
+#: summary per MERGED ** MERGES tasks, so a few for a million tasks.
+MERGED = 64
+MERGES = 3
 
 
 def _top(counts: Counter, size: int) -> bytes:
@@ -41,7 +44,7 @@ def _summaries(size: int):
                 counts = Counter(dict(counts.most_common(4 * size)))
         counts = Counter({p: n for p, n in counts.items() if len(p) <= LONGEST_KEPT})
         yield pa.RecordBatch.from_pydict(
-            {"task": [TaskContext.get().partitionId()], "top": [_top(counts, size)]}
+            {"place": [TaskContext.get().partitionId()], "top": [_top(counts, size)]}
         )
 
     return run
@@ -54,17 +57,20 @@ def _merge(size: int):
             counts.update(dict(pickle.loads(blob.as_py())))
             if len(counts) > 16 * size:
                 counts = Counter(dict(counts.most_common(4 * size)))
-        return pa.table({"top": [_top(counts, size)]})
+        place = table.column("place")[0].as_py() // MERGED
+        return pa.table({"place": [place], "top": [_top(counts, size)]})
 
     return run
 
 
 def frequent_pieces(docs: DataFrame, size: int = TABLE_SIZE) -> list[str]:
     """The ``size`` most frequent pieces of ``text`` by all rows, commonest first."""
-    summaries = pick(docs, "text").mapInArrow(_summaries(size), "task bigint, top binary")
-    merged = summaries.groupBy(F.col("task") % _MERGERS).applyInArrow(_merge(size), "top binary")
+    merged = pick(docs, "text").mapInArrow(_summaries(size), "place bigint, top binary")
+    for _ in range(MERGES):
+        parts = merged.groupBy(F.floor(F.col("place") / MERGED))
+        merged = parts.applyInArrow(_merge(size), "place bigint, top binary")
     counts: Counter = Counter()
-    for row in merged.collect():  # at most _MERGERS summaries
+    for row in merged.collect():
         counts.update(dict(pickle.loads(row.top)))
     return [p for p, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:size]]
 
