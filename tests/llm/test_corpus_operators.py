@@ -68,13 +68,98 @@ def test_extract_with_and_without_article(spark):
     found = html_text.extract(pages, part_pages=100).collect()
     assert len(found) == len(rows)
     by = {r.page_id: r for r in found}
-    for i in range(1, 6):
+    for i in range(6):
         assert by[i].text == f"story number{i} of its own" and not by[i].in_article
     assert by[10].text == f"T\n\n{bar}" and by[10].in_article and by[10].n_chars == len(by[10].text)
     assert by[11].text == by[12].text == "" and by[13].text == "alone"
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+ARTICLES = [
+    ('<article class="post comments-open"><p>a b</article>', ["a b"]),
+    ('<main class="has-sidebar"><p>a b</main>', ["a b"]),
+    ('<div class="with-sidebar"><article><p>a b</article></div>', ["a b"]),
+    ('<div class="sidebar"><main><p>a b</main></div>', ["a b"]),
+    ('<article><div class="elementor-widget-container"><p>a b</div></article>', ["a b"]),
+    ('<article><header class="entry-header"><h1>T</h1></header><p>a b</article>', ["T", "a b"]),
+    ('<article><div class="header"><h1>T</h1></div>a</article>', ["T", "a"]),
+    ('<article><p>a b<section id="commentlist"><p>nice</section></article>', ["a b"]),
+    ('<article><p>a<ol class="comment-list"><li>nice</ol><div id="disqus_thread">x</div></article>', ["a"]),
+    ('<article><p>a</article><section class="comments-area"><article class="comment"><p>nice</article></section>', ["a"]),
+    ("<article><p class=it's>a b</p><p>it's</article>", ["a b", "it's"]),
+    ("<noscript><article><p>a b</article>", ["a b"]),
+    ("<div role='main'><p>a b</div><p>c", ["a b"]),
+    ("<div ROLE=main><p>a b</div>", ["a b"]),
+    ('<article><p>a<div class="ad-slot">buy</div><footer>f</footer><div class="share-buttons">s</div></article>', ["a"]),
+    ('<article hidden><p>old</article><article><p title="1 > 0">a b</article>', ["a b"]),
+    ('<aside><article><p>teaser</article></aside><article><p>a</article>', ["a"]),
+]
+
+
+@pytest.mark.parametrize("page, text", ARTICLES)
+def test_what_belongs_to_the_article(page, text):
+    assert [t for inside, t in html_text.blocks(f"<body><nav>menu</nav>{page}</body>") if inside] == text
+
+
+def _unique_blocks(pages, run, least, share, covered):
+    """Straight from the rule: runs of the distinct contents of a host, then whole blocks."""
+    distinct = [list(x) for x in {tuple(p) for p in pages}]
+    needed = max(least, -(-len(distinct) * share // 1))
+
+    def runs(text):
+        words = text.split(" ")
+        size = min(run, len(words))
+        return [(k, size, tuple(words[k : k + size]), len(words) < run) for k in range(len(words) - size + 1)]
+
+    holders = {}
+    for i, blocks in enumerate(distinct):
+        for text in blocks:
+            for _, _, words, short in runs(text):
+                holders.setdefault((words, short), set()).add(i)
+    kept = []
+    for blocks in pages:
+        mine = []
+        for text in blocks:
+            gone = set()
+            for k, size, words, short in runs(text):
+                if len(holders[words, short]) >= needed:
+                    gone |= set(range(k, k + size))
+            if len(gone) < covered * len(text.split(" ")):
+                mine.append(text)
+        kept.append("\n\n".join(mine))
+    return kept
+
+
+def test_boilerplate_of_hosts_against_brute_force(spark):
+    rnd = random.Random(4)
+    rows, want = [], {}
+    for host, n in (("a", 60), ("b", 7), ("c", 1)):
+        pages = []
+        for _ in range(n):
+            pool = ["x y z", "one two three four five", "menu home", *(" ".join(rnd.choice("pqrs") for _ in range(rnd.randint(1, 9))) for _ in range(3))]
+            pages.append([rnd.choice(pool) for _ in range(rnd.randint(0, 5))])
+        pages += pages[:5]
+        texts = _unique_blocks([p for p in pages], 4, 3, 0.1, 0.8)
+        for p, text in zip(pages, texts):
+            want[len(rows)] = text
+            rows.append((len(rows), f"http://{host}/{len(rows)}", "".join(f"<p>{t}</p>" for t in p)))
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for part_pages in (1, 4, 1000):
+        found = html_text.extract(table, run=4, part_pages=part_pages, share=0.1).collect()
+        assert {r.page_id: r.text for r in found} == want
+
+
+def test_copies_and_quotations_stay(spark):
+    quote = "to be or not to be that is the question whether it is nobler"
+    story = [" ".join(f"word{i}x{j}" for j in range(60)) for i in range(20)]
+    rows = [(i, f"http://h/{i}", f"<p>the same menu of all pages</p><p>{story[i % 20]}</p>") for i in range(40)]
+    rows += [(100 + i, f"http://h/q{i}", f"<p>the same menu of all pages</p><p>{story[i]} and {quote} said {story[i + 1]}</p>") for i in range(0, 6, 2)]
+    found = html_text.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    by = {r.page_id: r.text for r in found}
+    assert all(by[i] == story[i % 20] for i in range(40))
+    assert all(quote in by[100 + i] and by[100 + i].endswith(story[i + 1]) for i in range(0, 6, 2))
+
+
 @needs_tables
 def test_op1_gives_the_articles(spark):
     found = {r.page_id: r.text for r in queries.op1_html_main_text(spark, SF_DIR).collect()}

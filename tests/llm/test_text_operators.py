@@ -99,6 +99,43 @@ def test_packing_keeps_every_id_once(odd_docs, tokenizer, mixture):
         assert found == {i: copies for i in range(len(whole[0]))}
 
 
+@pytest.mark.parametrize("tasks", [1, 7, 40])
+def test_what_tasks_have_left_joins_the_mixture(spark, tasks):
+    rnd = random.Random(5)
+    sources = ["a"] * 6 + ["b"] * 3 + ["rare"]
+    rows = [(i, rnd.choice(sources), " ".join(f"w{rnd.randint(0, 999)}" for _ in range(rnd.randint(0, 60)))) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string").repartition(tasks)
+    packed = packing.pack(docs, queries.tokenizer_json(), window=512, chunk=64, with_ids=True).collect()
+    by_source, windows = {}, {}
+    for r in packed:
+        by_source[r.source] = by_source.get(r.source, 0) + r.length
+        windows.setdefault(r.sequence_id, {}).setdefault(r.source, 0)
+        windows[r.sequence_id][r.source] += r.length
+        assert zlib.crc32(bytes(r.ids)) == r.ids_crc32 and len(r.ids) == 4 * r.length
+    # less than a chunk per source follows behind the mixture
+    whole = {source: n // 64 * 64 for source, n in by_source.items()}
+    filled = sum(whole.values())
+    placed = dict.fromkeys(by_source, 0)
+    for r in packed:
+        if r.sequence_id * 512 + r.offset < filled:
+            placed[r.source] += r.length
+    assert placed == whole
+    for k, held in windows.items():
+        if (k + 1) * 512 <= filled:
+            for source, n in whole.items():
+                assert abs(held.get(source, 0) - 512 * n / filled) <= 2 * 64
+    # every id lies in one piece, and pieces lie side by side
+    ends = sorted((r.sequence_id * 512 + r.offset, r.length) for r in packed)
+    at = 0
+    for start, n in ends:
+        assert start == at
+        at += n
+    for doc in {r.doc_id for r in packed}:
+        mine = sorted((r.start, r.length, r.doc_tokens) for r in packed if r.doc_id == doc)
+        assert [s for s, _, _ in mine] == [sum(n for _, n, _ in mine[:i]) for i in range(len(mine))]
+        assert sum(n for _, n, _ in mine) == mine[0][2]
+
+
 def test_packing_follows_the_mixture(spark, tokenizer):
     docs = spark.range(400).select(
         F.col("id").alias("doc_id"),
@@ -265,6 +302,48 @@ def test_model_beats_counts_where_order_matters(spark):
     assert sum(r.score for r in found) > 0.7 * sum(r.base_score for r in found)
 
 
+@pytest.mark.parametrize("around", [15, 100, 3000])
+def test_licences_inside_longer_lines(spark, around):
+    rnd = random.Random(around)
+    syllables = "than ore tion ing heed wh nd ti".split()
+
+    def prose(n=20):
+        return " ".join("".join(rnd.choice(syllables) for _ in range(3)) for _ in range(n))
+
+    notices = {
+        "apache": "Licensed under the Apache License, Version 2.0.",
+        "gpl": "This work is licensed under the GNU General Public License, version 3.",
+        "mit": "Released under the MIT License.",
+        "cc-by-nc": "Licensed under CC BY-NC 4.0.",
+    }
+    rows = [(i, f"{prose()}\n{prose(around)} of the {prose(9)} under the terms {prose(3)}") for i in range(100)]
+    places = [(family, where) for family in notices for where in ("end", "middle", "start")]
+    for i, (family, where) in enumerate(places):
+        before, after = {"end": (around, 0), "middle": (around, around), "start": (0, around)}[where]
+        rows.append((200 + i, f"{prose(before)} {notices[family]} {prose(after)}\n{prose()}"))
+    found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for i, (family, _) in enumerate(places):
+        assert found[200 + i].confirmed == [family] and found[200 + i].n_found == 1
+    assert not any(found[i].confirmed for i in range(100))
+
+
+def test_stretches_against_brute_force():
+    rnd = random.Random(2)
+    features = licenses.Features({"x": ("a b c d", "c a e"), "y": ("b b",)})
+    pairs = {(b"a", b"b"), (b"b", b"c"), (b"c", b"d"), (b"c", b"a"), (b"a", b"e"), (b"b", b"b")}
+    for _ in range(200):
+        paragraphs = [[rnd.choice([b"a", b"b", b"c", b"d", b"e", b"z", b"q"]) for _ in range(rnd.randint(0, 25))] for _ in range(3)]
+        want = []
+        for i, words in enumerate(paragraphs):
+            hits = [k for k in range(len(words) - 1) if (words[k], words[k + 1]) in pairs]
+            for k in hits:
+                if want and want[-1][0] == i and k - (want[-1][2] - 2) <= 3:
+                    want[-1] = (i, want[-1][1], k + 2)
+                else:
+                    want.append((i, k, k + 2))
+        assert list(features.stretches(paragraphs, 2)) == want
+
+
 def test_licences(spark):
     rnd = random.Random(8)
     syllables = "than ore tion ing heed wh nd ti".split()
