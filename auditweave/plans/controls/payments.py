@@ -13,6 +13,7 @@ from auditweave.operators.groups import label_group, members_of, with_group_numb
 from auditweave.operators.ordering import dense_numbers
 from auditweave.operators.proximity import has_other_nearby, on_or_after
 from auditweave.plans.scope import COMPANY, scope_columns, vendor_categories
+from auditweave.sources.shelf import pin
 
 L2 = "supplier_custom_category_l2"
 
@@ -123,6 +124,7 @@ def payments_within_1_day(book, floor: int = SAME_DAY_FLOOR) -> DataFrame:
         F.col("h_posting_date").alias("payment_date"),
         F.col("d_amount").alias("payment_amount"),
     )
+    credits = pin(credits, "credits")  # read for the groups and again for their members
     vendors = scope_columns(book, "vendor_id", "supplier_name", L2)
     keys = ["vendor", "payment_date"]
     shared = credits.groupBy(*keys).agg(F.count("*").alias("_rows")).filter("_rows > 1")

@@ -390,6 +390,15 @@ def test_a_stored_copy_must_fit_the_layout(spark):
         book.src.bind_clustered("nothing", ("a",), None)
 
 
+def test_credits_are_read_from_the_ledger_once(sample):
+    def folders(df):
+        return {f.rsplit("/", 2)[1] for f in df.inputFiles()}
+
+    (ledger,) = folders(sample.src.ledger)
+    read = folders(sample.plan("payments_within_1_day"))
+    assert ledger not in read and any(f.endswith("credits") for f in read)
+
+
 # --- finance transactions ---------------------------------------------------------------
 
 
