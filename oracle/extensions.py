@@ -62,7 +62,7 @@ _SUMS = f"""count(*) AS hits,
  count(*) FILTER (day BETWEEN {MONTHS_12} AND {TODAY}) AS hits_last_year,
  sum(amount) AS amount, min(day) AS first_day, max(day) AS last_day"""
 _FEATURES = ", ".join(
-    f"'{m}_{w}': {m}_{w}"
+    f"'{m}_{w}': " + (f"CAST({m}_{w} AS VARCHAR)" if m.startswith("total") else f"{m}_{w}")
     for m in (
         "total_po_spend", "po_count", "total_invoice_spend", "total_payment_amount",
         "invoice_count", "paid_invoice_count", "vendor_active_months",
@@ -136,7 +136,7 @@ SELECT vendor_number, control, entity, count(*) AS hits, sum(amount) AS amount,
  row_number() OVER (PARTITION BY vendor_number, control ORDER BY sum(amount) DESC NULLS LAST, max(day) DESC NULLS LAST, entity NULLS LAST) AS place
 FROM {{control_hits}} WHERE vendor_number IS NOT NULL GROUP BY 1,2,3""",
     "hit_shown": """
-SELECT vendor_number, control, list({'place': place, 'entity': entity, 'hits': hits, 'amount': amount, 'last_day': last_day} ORDER BY place) AS evidence
+SELECT vendor_number, control, list({'place': place, 'entity': entity, 'hits': hits, 'amount': CAST(amount AS VARCHAR), 'last_day': last_day} ORDER BY place) AS evidence
 FROM {hit_entity} WHERE place<=5 GROUP BY 1,2""",
     "hit_cell": f"""
 SELECT vendor_number, control, {_SUMS}, count(DISTINCT entity) AS entities
@@ -152,7 +152,7 @@ FROM {brief}""",
 SELECT c.vendor_number, any_value(vendor_name) AS vendor_name, any_value(supplier_country) AS supplier_country, any_value(categories) AS categories,
  count(*) AS controls, CAST(sum(hits) AS BIGINT) AS hits, CAST(sum(hits_last_90_days) AS BIGINT) AS hits_last_90_days, CAST(sum(hits_last_year) AS BIGINT) AS hits_last_year,
  sum(amount) AS amount, min(first_day) AS first_day, max(last_day) AS last_day, any_value(features) AS features,
- list({{'control': control, 'hits': hits, 'entities': entities, 'amount': amount, 'first_day': first_day, 'last_day': last_day, 'evidence': evidence}} ORDER BY control) AS findings
+ list({{'control': control, 'hits': hits, 'entities': entities, 'amount': CAST(amount AS VARCHAR), 'first_day': first_day, 'last_day': last_day, 'evidence': evidence}} ORDER BY control) AS findings
 FROM {{hit_cell}} c JOIN {{hit_shown}} USING (vendor_number, control) LEFT JOIN {{hit_master}} USING (vendor_number)
 LEFT JOIN (SELECT vendor_number, {{{_FEATURES}}} AS features FROM {{vendor_windowed_features}}) USING (vendor_number)
 GROUP BY 1""",
