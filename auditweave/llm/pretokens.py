@@ -77,7 +77,7 @@ class PieceCache:
     """
 
     def __init__(
-        self, tokenizer_json: str, lengths: bool, frequent: dict | None = None, room=220_000
+        self, tokenizer_json: str, lengths: bool, frequent: dict | None = None, room=150_000
     ):
         # threads of its own would give every worker as many memory pools
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
