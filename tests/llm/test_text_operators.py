@@ -99,11 +99,11 @@ def test_packing_keeps_every_id_once(odd_docs, tokenizer, mixture):
         assert found == {i: copies for i in range(len(whole[0]))}
 
 
-@pytest.mark.parametrize("tasks", [1, 7, 40])
+@pytest.mark.parametrize("tasks", [1, 12])
 def test_what_tasks_have_left_joins_the_mixture(spark, tasks):
     rnd = random.Random(5)
     sources = ["a"] * 6 + ["b"] * 3 + ["rare"]
-    rows = [(i, rnd.choice(sources), " ".join(f"w{rnd.randint(0, 999)}" for _ in range(rnd.randint(0, 60)))) for i in range(900)]
+    rows = [(i, rnd.choice(sources), " ".join(f"w{rnd.randint(0, 999)}" for _ in range(rnd.randint(0, 60)))) for i in range(400)]
     docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string").repartition(tasks)
     packed = packing.pack(docs, queries.tokenizer_json(), window=512, chunk=64, with_ids=True).collect()
     by_source, windows = {}, {}
@@ -302,7 +302,7 @@ def test_model_beats_counts_where_order_matters(spark):
     assert sum(r.score for r in found) > 0.7 * sum(r.base_score for r in found)
 
 
-@pytest.mark.parametrize("around", [15, 100, 3000])
+@pytest.mark.parametrize("around", [15, 3000])
 def test_licences_inside_longer_lines(spark, around):
     rnd = random.Random(around)
     syllables = "than ore tion ing heed wh nd ti".split()
