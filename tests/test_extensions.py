@@ -457,7 +457,7 @@ def test_a_run_reports_rows_nulls_and_fan_out_without_more_jobs(spark, tmp_path)
         report = run_audit(spark, book, str(tmp_path / label), names)
         jobs[label] = len(tracker.getJobIdsForGroup(label))
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert jobs["plain"] == jobs["metered"]
+    assert jobs["metered"] <= jobs["plain"]
     seen = report.measured
     assert seen["ariba_po_invoice: categories"].fan_out == 2.0
     assert seen["ariba_po_invoice: invoices"].before == 4 and seen["ariba_po_invoice: invoices"].rows == 6
