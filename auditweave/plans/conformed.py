@@ -26,7 +26,8 @@ def ariba_po_invoice(book) -> DataFrame:
 
     Grain: order header x cost centre x invoice header x description x vendor category.
     Each side is summed to its own grain before the join, and both grains are kept in full,
-    so the joined rows are distinct without a further pass.
+    so the joined rows are distinct without a further pass. Both are dealt by order first,
+    which serves the sums and the join: each row is shuffled once.
     """
     src, day = book.src, book.local_today
     window_start = months_before(day, 24)
@@ -35,6 +36,7 @@ def ariba_po_invoice(book) -> DataFrame:
         src.ariba_po_line.filter(
             F.col("ordered_date").cast("date").between(window_start, F.lit(day))
         )
+        .repartition("po_order_id")
         .groupBy(
             F.col("po_order_id").alias("po_number"),
             F.col("req_requisition_id").alias("requisition_id"),
@@ -58,6 +60,7 @@ def ariba_po_invoice(book) -> DataFrame:
         src.ariba_invoice_line.filter(
             F.col("po_ordered_date").between(window_start, F.lit(day))
         )
+        .repartition("order_id")
         .groupBy(
             F.col("order_id").alias("po_order_id"),
             "invoice_id",
@@ -462,7 +465,12 @@ def final_approver(book) -> DataFrame:
 
 
 def approvals_matrix(book) -> DataFrame:
-    """Orders with the first seven approvers of their requisition."""
+    """Orders with the first seven approvers of their requisition.
+
+    The approvers are brought to the orders' numbers and made distinct there, as one order may
+    hang on several requisitions without approvals. Orders are shuffled once, by number, and
+    what is joined to distinct orders needs no further pass.
+    """
     po = (
         book.table("ariba_po_invoice")
         .select(
@@ -481,17 +489,20 @@ def approvals_matrix(book) -> DataFrame:
             "approver",
             "cost_center",
         )
+        .repartition("po_number")
         .distinct()
     )
-    approvers = book.table("first_approvers")
-    return (
-        po.join(
-            book.table("ordered_requisitions"),
-            F.col("po_number") == F.col("po_order_id"),
+    approvers = (
+        book.table("ordered_requisitions")
+        .join(
+            book.table("first_approvers"),
+            F.col("approvable_id") == F.col("req_requisition_id"),
             "left",
         )
-        .join(approvers, F.col("approvable_id") == F.col("req_requisition_id"), "left")
-        # one order may hang on several requisitions without approvals: those rows coincide
-        .drop("req_requisition_id", "po_order_id")
+        .drop("req_requisition_id")
+        .repartition("po_order_id")
         .distinct()
     )
+    return po.join(approvers, F.col("po_number") == F.col("po_order_id"), "left").drop(
+        "po_order_id"
+    )

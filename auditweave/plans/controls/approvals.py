@@ -62,26 +62,26 @@ def _with_limit(
 def _ordered_requisitions(book, columns: list) -> DataFrame:
     """Distinct order columns with the requisition and its last approver's limit.
 
-    Both controls on it need a limit to compare with, so the joins are inner.
+    Both controls on it need a limit to compare with, so the joins are inner. Limits are looked
+    up for requisitions, which are narrow; the orders themselves are shuffled once, by number.
     """
     src = book.src
     orders = (
         book.table("ariba_po_invoice")
         .filter(F.col("po_number") != NO_ORDER)
         .select(*columns)
+        .repartition("po_number")
         .distinct()
     )
-    rows = (
-        orders.join(
-            book.table("ordered_requisitions"), F.col("po_number") == F.col("po_order_id")
-        )
-        .drop("po_order_id")
+    requisitions = (
+        book.table("ordered_requisitions")
         .join(book.table("final_approver"), F.col("approvable_id") == F.col("req_requisition_id"))
         .drop("approvable_id")
     )
-    return _with_limit(
-        rows, authority_limits(src), "last_approver", "annual_limit_approver_last", "inner"
+    limited = _with_limit(
+        requisitions, authority_limits(src), "last_approver", "annual_limit_approver_last", "inner"
     )
+    return orders.join(limited, F.col("po_number") == F.col("po_order_id")).drop("po_order_id")
 
 
 def _with_approver_limits(rows: DataFrame, approvers: DataFrame, limits: DataFrame) -> DataFrame:
