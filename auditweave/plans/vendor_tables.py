@@ -156,7 +156,8 @@ def base_transaction(book) -> DataFrame:
     """One row per order and invoice, with approval, authority limit and line totals.
 
     The approver, limit and line totals depend on the requisition or order alone, so they
-    are joined after the rows have been summed to the final grain.
+    are joined after the rows have been summed to the final grain. Rows are dealt by order
+    first, which serves the sums and the join with the line totals.
     """
     header = {
         "po_number": "po_number",
@@ -181,6 +182,7 @@ def base_transaction(book) -> DataFrame:
     grain = (
         book.table("ariba_po_invoice")
         .withColumn("_centre", centre)
+        .repartition("po_number")
         .groupBy(*keys)
         .agg(
             F.sum("po_spend").alias("po_spend"),
@@ -201,6 +203,14 @@ def base_transaction(book) -> DataFrame:
     lines = po_line_level(book, needed.select(F.col("po_number").alias("po_order_id")))
     joined = book.meter.join(
         grain,
+        "base_transaction: line totals",
+        lambda rows: rows.join(lines, F.col("po_number") == F.col("po_order_id"), "left").drop(
+            "po_order_id"
+        ),
+        "po_line_item_count",
+    )
+    joined = book.meter.join(
+        joined,
         "base_transaction: approver",
         lambda rows: rows.join(
             approvers, F.col("requisition_id") == F.col("approvable_id"), "left"
@@ -217,14 +227,8 @@ def base_transaction(book) -> DataFrame:
         ).drop("approved_by_user_upper"),
         "approver_doa_annual_limit",
     )
-    joined = book.meter.join(
-        joined,
-        "base_transaction: line totals",
-        lambda rows: rows.join(lines, F.col("po_number") == F.col("po_order_id"), "left").drop(
-            "po_order_id"
-        ),
-        "po_line_item_count",
-    )
+    totals = [c for c in lines.columns if c != "po_order_id"]
+    joined = joined.select(*[c for c in joined.columns if c not in totals], *totals)
     spend = F.col("po_spend").cast("double")
     blank = F.lit("NULL")
     return joined.withColumns(
