@@ -112,8 +112,9 @@ def payment_lines(book) -> DataFrame:
     start = months_before(book.today, 24)
     return _payment_documents(book.src.ledger).filter(
         (_paid_by_vendor(start) | _paid_by_document(start))
-        # implied by the line above, but all of it can go to the scan
-        & (erp_text_from("h_document_date", start) | _paid_by_document(start))
+        # implied by the line above, but all of it can go to the scan; a whole branch repeated
+        # here would be merged with the line above
+        & (erp_text_from("h_document_date", start) | (F.col("h_posting_date") > start))
     ).select(
         *LINE_KEY,
         "h_document_date",
