@@ -130,21 +130,27 @@ class PieceCache:
         """For each text the list of its pieces' values."""
         cut = [pieces(t) if t else [] for t in texts]
         self._fill(self._first, {c[0] for c in cut if c}, "")
+        # most pieces are there: each is looked up once, and only those that lack are collected
+        found = [list(map(self._later.get, islice(c, 1, None))) for c in cut]
+        lacking = [not all(values) for values in found]  # a piece has a token at least
         later: set[str] = set()
-        for c in cut:
-            later.update(c[1:])
+        for c, values, lacks in zip(cut, found, lacking):
+            if lacks:
+                later.update(p for p, v in zip(islice(c, 1, None), values) if v is None)
         self._fill(self._later, later, " ")
         look = self._later.__getitem__
-        for c in cut:
-            yield [self._first[c[0]], *map(look, c[1:])] if c else []
+        for c, values, lacks in zip(cut, found, lacking):
+            if lacks:
+                values = map(look, islice(c, 1, None))
+            yield [self._first[c[0]], *values] if c else []
         self._trim(later)
 
     def _trim(self, later: set[str]) -> None:
+        """``later`` are the pieces that have come since."""
         self._first = {}
+        for p in later:
+            if len(p) > LONGEST_KEPT:
+                del self._later[p]
         if len(self._later) > self._room:
             kept = max(len(self._frequent), self._room // 3 * 2)
             self._later = dict(islice(self._later.items(), kept))
-        else:
-            for p in later:
-                if len(p) > LONGEST_KEPT and p not in self._frequent:
-                    del self._later[p]

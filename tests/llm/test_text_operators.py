@@ -369,3 +369,30 @@ def test_licences(spark):
     assert all(not r.confirmed for r in found if r.doc_id not in stated)
     assert by[300].n_paragraphs == by[301].n_paragraphs == by[302].n_paragraphs == 0
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_cached_pieces_are_looked_up_once_and_long_ones_go(tokenizer):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            Counted.asked += 1
+            return super().get(key, default)
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+
+        def __contains__(self, key):
+            Counted.asked += 1
+            return super().__contains__(key)
+
+    long = "x" * 100
+    texts = [f"first one two {long}"] * 3
+    cache = PieceCache(tokenizer, lengths=True)
+    want = [list(v) for v in cache.batch(texts)]
+    assert long not in cache._later and set(cache._later) == {"one", "two"}
+    cache._later = Counted(cache._later)
+    texts = [t.replace(f" {long}", "") for t in texts]
+    assert [list(v) for v in cache.batch(texts)] == [w[:3] for w in want]
+    assert Counted.asked == 6
