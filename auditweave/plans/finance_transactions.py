@@ -20,6 +20,7 @@ from auditweave.functions.keys import erp_date, erp_date_between
 from auditweave.operators.ordering import join_nullsafe
 from auditweave.plans import conformed
 from auditweave.plans.scope import COMPANY, scope_columns
+from auditweave.plans.vendor_tables import TRANSACTION_COLUMNS
 from auditweave.sources.shelf import pin
 
 SYSTEM = "SAP"
@@ -161,12 +162,8 @@ def sap_transaction(book) -> DataFrame:
     rows = rows.withColumns(known)
     return rows.select(
         *[
-            (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(
-                MONEY if f.name in _AMOUNTS else f.dataType
-            ).alias(f.name)
-            for f in book.table("base_transaction").schema
+            (F.col(name) if name in rows.columns else F.lit(None)).cast(kind).alias(name)
+            # the table itself is another plan's work, which this one does not read
+            for name, kind in TRANSACTION_COLUMNS.items()
         ]
     )
-
-
-_AMOUNTS = {"po_spend", "invoice_amount_excl_tax", "payment_amount", "amount_paid_excl_tax", "tax_amount"}

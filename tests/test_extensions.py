@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StructType
 
 from auditweave import Anchors, AuditBook
+from auditweave.book import SHARED
 from auditweave.operators.measure import Meter
 from auditweave.operators.ranking import top_rows
 from auditweave.plans import conformed, finance_transactions, findings, monthly_features, publish, rolling
@@ -22,6 +23,7 @@ from auditweave.plans.runner import run_audit
 from auditweave.plans.vendor_tables import vendor_windowed_features
 from auditweave.sources import buckets
 from auditweave.sources.facts import FactTable
+from auditweave.sources.shelf import shelf_of
 from auditweave.sources.starschema import open_book
 from tests.test_plans import SF_DIR, book_of, payment, spend
 
@@ -143,6 +145,33 @@ def test_only_the_tasks_best_rows_are_shuffled_by_key(spark):
     assert "WindowGroupLimit" in below and "Partial" in below
 
 
+def test_only_the_facts_stay_of_what_hits_took(spark, tmp_path):
+    def orders(number, day):
+        return {
+            "po_order_id": number, "ordered_date": day, "supplier_erp_id": "1", "supplier_erp_name": "n",
+            "sum_amount_invoiced": Decimal(90000), "sum_po_spend": Decimal(90000), "po_status": "Open",
+        }
+
+    lines = [orders("P1", date(2024, 1, 3)), orders("P2", date(2024, 1, 3)), orders("P3", date(2024, 1, 3))]
+    book = book_of(spark, ariba_po_line=lines, spend_base=[spend("1")])
+    kept = book.plan("ariba_dupe_po").count()
+    shelf = shelf_of(spark)
+
+    def tables():
+        return {p.name.split("-", 1)[1] for p in Path(shelf.folder).iterdir() if int(p.name[:5]) > first}
+
+    first = next(shelf._count)
+    facts = findings.refresh_hits(spark, book, str(tmp_path / "hits"), ["ariba_dupe_po", "ariba_open_po"])
+    assert tables() <= set(SHARED)
+    counted = {r.control: r["count"] for r in facts.rows().groupBy("control").count().collect()}
+    assert counted == {"ariba_dupe_po": kept, "ariba_open_po": 3} and kept > 0
+    # a report that another plan reads keeps what it is made of
+    first = next(shelf._count)
+    report = book.table("ariba_dupe_po")
+    findings.refresh_hits(spark, book, str(tmp_path / "hits"), ["ariba_dupe_po"])
+    assert "flagged" in tables() and report.count() == kept
+
+
 def test_briefs_have_one_row_per_vendor_with_hits(sample):
     briefs = findings.case_brief_inputs(sample).collect()
     vendors = {r.vendor_number for r in sample.table("control_hits").select("vendor_number").distinct().collect()}
@@ -430,6 +459,15 @@ def test_finance_transactions_have_the_columns_of_the_other_branch(sample):
     assert {r.system for r in both.select("system").distinct().collect()} == {"Ariba", "SAP"}
 
 
+def test_finance_transactions_do_not_need_the_other_branch(spark):
+    book = open_book(spark, SF_DIR)
+    ours = book.plan("sap_transaction")
+    assert "base_transaction" not in book._kept
+    money = {"po_spend", "invoice_amount_excl_tax", "payment_amount", "amount_paid_excl_tax", "tax_amount"}
+    kinds = {f.name: f.dataType for f in book.table("base_transaction").schema if f.name not in money}
+    assert {f.name: f.dataType for f in ours.schema if f.name not in money} == kinds
+
+
 # --- measured runs ----------------------------------------------------------------------
 
 
