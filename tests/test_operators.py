@@ -117,6 +117,26 @@ def test_has_other_nearby(spark):
     assert got == expected
 
 
+@pytest.mark.parametrize("both", [False, True])
+def test_day_members_on_either_side(spark, both):
+    odd = [(None, "x", DAY0), ("hot", None, DAY0), ("hot", "y", None), ("one", "z", DAY0)]
+    rows = _rows(n=120, seed=5) + odd
+    df = spark.createDataFrame(rows, "k string, id string, day date")
+    got = [
+        (r.k, r.anchor, r.id)
+        for r in later_day_members(df, ["k"], "id", "day", 3, both=both).collect()
+    ]
+    whole = [r for r in rows if None not in r]
+    expected = {
+        (a[0], a[2], member)
+        for a in whole
+        for b in whole
+        if a[0] == b[0] and a[1] < b[1] and (-3 if both else 0) <= (a[2] - b[2]).days <= 3
+        for member in (a[1], b[1])
+    }
+    assert len(got) == len(set(got)) and set(got) == expected
+
+
 def test_later_day_members(spark):
     rows = _rows(n=200, days=90, seed=4)
     df = spark.createDataFrame(rows, "k string, id string, day date")

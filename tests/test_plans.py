@@ -619,3 +619,24 @@ def test_asset_orders_within_days(spark):
         ("M2", 2),
         ("M3", 2),
     }
+
+
+def test_orders_of_either_side_form_no_pairs(spark, monkeypatch):
+    from auditweave.plans.controls import orders
+
+    def no_pairs(*args, **more):
+        raise AssertionError("pairs grow with the square of a key's orders")
+
+    monkeypatch.setattr(orders, "near_date_pairs", no_pairs)
+    days = {"P1": 1, "P2": 3, "P3": 9, "P4": 7}
+    order = {
+        "supplier_erp_id": "1", "supplier_erp_name": "n", "sum_amount_invoiced": Decimal(5),
+        "sum_po_spend": Decimal(20000), "po_status": "Open", "req_requisition_id": "R",
+    }
+    lines = [order | {"po_order_id": p, "ordered_date": date(2024, 3, d)} for p, d in days.items()]
+    book = book_of(spark, ariba_po_line=lines, spend_base=[spend("1")])
+    rows = book.plan("ariba_dupe_po_symmetric").collect()
+    # P1 is the earlier of its group, P3 the later of its
+    assert sorted((r.po_number, r.group_number) for r in rows) == [
+        ("P1", 1), ("P2", 1), ("P3", 2), ("P4", 2)
+    ]
