@@ -20,6 +20,9 @@ UNCLEARED = "00000000"
 
 LINE_KEY = ["h_document_number", "d_buzei_line_item"]
 
+# Marks lines of the branch by document that the branch by vendor holds as well.
+BY_VENDOR = "_by_vendor"
+
 
 def ariba_po_invoice(book) -> DataFrame:
     """Orders of the last 24 months with their invoices.
@@ -132,19 +135,20 @@ def base_payment(book) -> DataFrame:
     """Signed payment amounts per vendor, payment date, account and clearing document."""
     start = months_before(book.today, 24)
     shape = [*payment_shape(), *LINE_KEY]
+    also = _paid_by_vendor(start).alias(BY_VENDOR)
     stored = book.src.clustered("ledger", *LINE_KEY)
     if stored is not None:
         # joined by document where they lie; the few vendors in scope come to the other branch
         return payments_from(
             book,
             _payment_documents(book.src.ledger).filter(_paid_by_vendor(start)).select(*shape),
-            _payment_documents(stored).filter(_paid_by_document(start)).select(*shape),
+            _payment_documents(stored).filter(_paid_by_document(start)).select(*shape, also),
         )
     ledger = pin(payment_lines(book), "payment-lines")
     return payments_from(
         book,
         ledger.filter(_paid_by_vendor(start)).select(*shape),
-        ledger.filter(_paid_by_document(start)).select(*shape),
+        ledger.filter(_paid_by_document(start)).select(*shape, also),
     )
 
 
@@ -162,7 +166,11 @@ def payment_shape() -> list[Column]:
 
 
 def payments_from(book, vendor_lines: DataFrame, document_lines: DataFrame) -> DataFrame:
-    """The view from shaped lines of its two branches."""
+    """The view from shaped lines of its two branches.
+
+    Of a document line marked ``BY_VENDOR``, the vendor's own spend lines give what its branch
+    by vendor gives anyway: these go before the rows are shuffled.
+    """
     shaped = [
         F.coalesce("d_vendor", "vendor_id").alias("d_vendor"),
         F.col("supplier_name").alias("vendor_name"),
@@ -176,12 +184,17 @@ def payments_from(book, vendor_lines: DataFrame, document_lines: DataFrame) -> D
         scope_columns(book, "vendor_id", "supplier_name", L2),
         F.col("d_vendor") == F.col("vendor_id"),
     ).select(*shaped)
-    by_document = document_lines.join(_spend_documents(book.src), _same_document()).select(*shaped)
+    found = document_lines.join(_spend_documents(book.src), _same_document())
+    if BY_VENDOR in document_lines.columns:
+        found = found.filter(~F.coalesce(F.col(BY_VENDOR) & _own_vendor(), F.lit(False)))
+    by_document = found.select(*shaped)
     keys = [c for c in by_vendor.columns if c != "amount"]
     # Removing the blank vendor first is the same as removing it last and shuffles less.
     return (
         by_vendor.unionByName(by_document)
         .filter(F.col("d_vendor") != "")
+        # dealt for the sums, which serves the distinct rows as well: one shuffle
+        .repartition(*keys)
         .distinct()
         .groupBy(*keys)
         .agg(F.sum("amount").alias("payment_amount"))
@@ -241,8 +254,11 @@ def sap_invoices(book) -> DataFrame:
             F.col("system"),
         ]
 
-    by_document = document_side.join(_spend_documents(src), _same_document()).select(
-        *shaped(F.coalesce("d_vendor", "vendor_id"))
+    # the vendor's own spend lines give the rows of the branch by vendor once more
+    by_document = (
+        document_side.join(_spend_documents(src), _same_document())
+        .filter(~F.coalesce(_own_vendor(), F.lit(False)))
+        .select(*shaped(F.coalesce("d_vendor", "vendor_id")))
     )
     by_vendor = vendor_side.join(
         scope_columns(book, "vendor_id", "supplier_name", L2),
@@ -269,6 +285,11 @@ def _same_document() -> Column:
     )
 
 
+def _own_vendor() -> Column:
+    """Whether a ledger line's vendor is that of its spend line, which is then in scope too."""
+    return F.col("d_vendor") == F.col("vendor_id")
+
+
 def sap_po(book) -> DataFrame:
     """Purchase orders of the last 24 months summed over their schedule lines."""
     lines = order_lines(

@@ -640,3 +640,34 @@ def test_orders_of_either_side_form_no_pairs(spark, monkeypatch):
     assert sorted((r.po_number, r.group_number) for r in rows) == [
         ("P1", 1), ("P2", 1), ("P3", 2), ("P4", 2)
     ]
+
+
+def test_payments_are_dealt_once(spark):
+    book = book_of(
+        spark,
+        ledger=[payment("1", "C1", 10), payment(None, "C2", 20), payment("2", "C3", 30)],
+        spend_base=[
+            spend("1", invoice_document="ZC1", invoice_line_item="001"),
+            spend("1", invoice_document="ZC2", invoice_line_item="001"),
+            spend("1", invoice_document="ZC3", invoice_line_item="001"),
+        ],
+    )
+    rows = book.plan("base_payment")
+    dealt = [line for line in plan_text(rows).splitlines() if "Exchange hashpartitioning(d_vendor" in line]
+    assert len(dealt) == 1 and "REPARTITION" in dealt[0]
+    found = sorted((r.d_vendor, r.vendor_name, r.payment_clearing_doc, int(r.payment_amount)) for r in rows.collect())
+    assert found == [("1", "name 1", "C1", 10), ("1", "name 1", "C2", 20), ("2", "name 1", "C3", 30)]
+
+
+def test_invoices_found_by_vendor_are_not_dealt_again(spark):
+    invoice = payment("1", "C1", 10) | {"h_document_type": "Y0"}
+    book = book_of(
+        spark,
+        ledger=[invoice, invoice | {"d_vendor": "2"}, invoice | {"d_vendor": None}],
+        spend_base=[spend("1", invoice_document="ZC1", invoice_line_item="001")],
+    )
+    rows = book.plan("sap_invoices")
+    # the branch by document keeps the lines of another or no vendor only
+    text = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "NOT coalesce((d_vendor" in text
+    assert sorted((r.vendor, r.vendor_name) for r in rows.collect()) == [("1", "name 1"), ("2", "name 1")]
