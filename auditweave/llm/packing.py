@@ -34,10 +34,8 @@ from auditweave.sources.shelf import pin
 WINDOW = 2048
 CHUNK = 256
 BATCH = 64
-
-
-def _crc(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.astype("<u4").tobytes())
+#: Text pieces that a worker keeps.
+ROOM = 500_000
 
 
 def _cutter(state, window: int, chunk: int, end_id: int, keep_ids: bool, names: list[str]):
@@ -47,21 +45,22 @@ def _cutter(state, window: int, chunk: int, end_id: int, keep_ids: bool, names:
         part = TaskContext.get().partitionId()
         have = state.value
         if "cache" not in have:
-            have["cache"] = PieceCache(have["json"], lengths=False)
+            have["cache"] = PieceCache(have["json"], lengths=False, room=ROOM)
         end = np.array([end_id], "<u4").tobytes()
         sent: dict[str, int] = {}  # full chunks of a source so far
-        open_: dict[str, list] = {}  # pieces of its chunk that is not full yet
+        open_: dict[str, list] = {}  # pieces of its chunk that is not full yet, ids as bytes
         size: dict[str, int] = {}
 
         def close(source):
             k = sent.get(source, 0)
             at = 0
             for doc, start, ids, total in open_.pop(source, []):
+                n = len(ids) // 4
                 out.append(
-                    (doc, start, len(ids), _crc(ids), total, source, part, k, at)
-                    + ((ids.tobytes() if keep_ids else None),)
+                    (doc, start, n, zlib.crc32(ids), total, source, part, k, at)
+                    + ((ids if keep_ids else None),)
                 )
-                at += len(ids)
+                at += n
             sent[source] = k + 1
             size[source] = 0
 
@@ -82,12 +81,13 @@ def _cutter(state, window: int, chunk: int, end_id: int, keep_ids: bool, names:
                     piece.column(1).to_pylist(),
                     have["cache"].batch(piece.column(2).to_pylist()),
                 ):
-                    ids = np.frombuffer(b"".join([*codes, end]), "<u4")
-                    total, start = len(ids), 0
+                    codes.append(end)
+                    ids = b"".join(codes)
+                    total, start = len(ids) // 4, 0
                     while start < total:
                         n = min(chunk - size.get(source, 0), total - start)
                         open_.setdefault(source, []).append(
-                            (doc, start, ids[start : start + n], total)
+                            (doc, start, ids[4 * start : 4 * (start + n)], total)
                         )
                         size[source] = size.get(source, 0) + n
                         start += n
@@ -99,10 +99,9 @@ def _cutter(state, window: int, chunk: int, end_id: int, keep_ids: bool, names:
         for source, held in open_.items():
             at = 0
             for doc, start, ids, total in held:
-                rest.append(
-                    (doc, start, len(ids), None, total, source, part, -1, at, ids.tobytes())
-                )
-                at += len(ids)
+                n = len(ids) // 4
+                rest.append((doc, start, n, None, total, source, part, -1, at, ids))
+                at += n
         if rest:
             yield table(rest)
 
@@ -126,7 +125,7 @@ def _split_rest(window: int):
                         | {
                             "start": row["start"] + at,
                             "length": n,
-                            "ids_crc32": _crc(cut),
+                            "ids_crc32": zlib.crc32(cut.tobytes()),
                             "pos": row["pos"] + at,
                             "ids": cut.tobytes(),
                         }

@@ -57,6 +57,28 @@ def test_pieces_give_the_ids_of_whole_texts(tokenizer):
         assert got == [_ids(tokenizer, t) for t in texts]
 
 
+def test_line_breaks_between_latin_pieces_need_no_slow_encoder(tokenizer, monkeypatch):
+    rnd = random.Random(6)
+    texts = ["".join(rnd.choice("abert'sÉ.,7  \n") for _ in range(200)) for _ in range(300)]
+    texts += ["go on\nto it's\n'll 12\n3 a\n", "x \ny z\n\nz\ty <|a\nb|> c\nd"]
+    whole = [c.ids for c in Tokenizer.from_str(tokenizer).encode_batch(texts, add_special_tokens=False)]
+    cache = PieceCache(tokenizer, lengths=False)
+    assert [np.frombuffer(b"".join(v), "<u4").tolist() for v in cache.batch(texts)] == whole
+    counts = PieceCache(tokenizer, lengths=True)
+    assert [sum(v) for v in counts.batch(texts)] == list(map(len, whole))
+    asked = []
+    monkeypatch.setattr(cache, "_ids", lambda texts: asked.extend(texts) or [[0] for _ in texts])
+    cache.batch(["one two.\nThree four\nfive\nsix. seven"])
+    assert asked == ["one"]
+
+
+def test_the_cache_is_trimmed_even_if_its_reader_stops(tokenizer):
+    cache = PieceCache(tokenizer, lengths=False, room=6)
+    for _, _ in zip([1, 2], cache.batch([f"first a b c d e f g h {'x' * 100}", "a b"])):
+        pass
+    assert len(cache._later) <= 6 and "x" * 100 not in cache._later
+
+
 def test_token_counts(odd_docs, tokenizer):
     got = token_counts.count_tokens(odd_docs, tokenizer, limit=100, table_size=10).collect()
     docs = [(r[0], r[1]) for r in odd_docs.collect()]
