@@ -1,20 +1,24 @@
-"""Main text of web pages, with a suffix array per host against boilerplate.
-
-A page becomes blocks of text with their place in the markup. Blocks in a container that names
-the article are its text, whatever repeats in them. Everything else outside of menus, headers,
-footers, forms and the like is doubtful, and for that the pages of a host are compared: their
-doubtful blocks are laid in a row as one stream of tokens, a suffix array of the stream finds the
-long runs of tokens that distinct pages share, and blocks covered by such runs are boilerplate.
-What is left, the unique runs, is the text of a page that names no article.
-
-A host with very many pages is split into parts of a bounded size. Each part has a suffix array
-and tells how many of its pages hold each run; the parts of a host share no page, so the sums
-are those of the whole host, and what is boilerplate does not depend on the parts. Pages with
-equal doubtful blocks count once: copies of a page do not make its text boilerplate.
+"""Main text of web pages, with suffix arrays per host against boilerplate.
+
+A page becomes blocks of text with their place in the markup: those in a container that names
+the article, and doubtful ones, which are everything else outside of menus, headers, footers,
+forms and the like. The pages of a host are compared, the articles with each other and the
+doubtful blocks with each other: the blocks are laid in a row as one stream of tokens, a suffix
+array of the stream finds the long runs of tokens that distinct pages share, and blocks covered
+by such runs repeat. Repeated doubtful blocks are boilerplate; what is left, the unique runs, is
+the text of a page that names no article. A check follows for articles: their markup says that
+the repeated blocks belong to them too, so they are marked and stay.
+
+A host with very many pages is split into parts of a bounded size, each with a suffix array of
+its own. A run that a share of the host's pages holds is held by that share of the pages of one
+part at least, so each part names the few runs of which that is true, all parts count the runs
+named, and the sums are those of the whole host: what repeats does not depend on the parts.
+Pages with equal blocks count once: copies of a page do not make its text boilerplate.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import Counter
@@ -35,8 +39,11 @@ PAGES = 3
 SHARE = 0.05
 #: Share of a block's tokens in such runs that makes the block boilerplate.
 COVERED = 0.8
-#: Distinct pages of a host that share a suffix array, on average at most.
+#: Distinct pages of a host that share a suffix array, on average at most, and their characters.
 PART_PAGES = 2_000
+PART_CHARS = 4_000_000
+#: Contents that a task remembers, so that it sends copies of a page once.
+SEEN = 100_000
 
 #: Elements by what they mean for the text.
 _SKIPPED = frozenset(
@@ -277,36 +284,44 @@ _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Stream:
-    """The doubtful blocks of some pages of a host as one stream of tokens, and its runs.
+    """The blocks of some pages of a host as one stream of tokens, and its runs.
 
-    A block shorter than a run is one run of its own length. ``keys`` tells the runs of all parts
+    A block shorter than a run is one run of its own length. Keys tell the runs of all parts
     of a host apart: two 64-bit sums over their tokens and length.
     """
 
     def __init__(self, pages: list[list[str]], run: int):
         import xxhash
 
-        self.blocks = [(i, text) for i, texts in enumerate(pages) for text in texts]
-        words = [text.split(" ") for _, text in self.blocks]
-        self.sizes = np.array([len(w) for w in words], np.int64)
+        self.pages = len(pages)
+        texts = [text for blocks_ in pages for text in blocks_]
+        of_page = np.repeat(np.arange(len(pages)), np.array([len(b) for b in pages], np.int64))
+        known: dict[str, int] = {}
+        sizes, flat = [], []
+        for text in texts:
+            words = text.split(" ")
+            sizes.append(len(words))
+            for w in words:
+                if w not in known:
+                    known[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "replace"))
+            flat.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
+        self.sizes = np.array(sizes, np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        flat = [xxhash.xxh3_64_intdigest(w.encode("utf-8", "replace")) for ws in words for w in ws]
-        self.tokens = np.array(flat, np.uint64)
-        self.block = np.repeat(np.arange(len(words)), self.sizes)
-        page = np.array([i for i, _ in self.blocks], np.int64)
-        place, group = run_groups(self.tokens, self.block, run)
+        self.tokens = np.concatenate(flat) if flat else np.empty(0, np.uint64)
+        self.of_page = of_page.astype(np.int64)
+        block = np.repeat(np.arange(len(sizes)), self.sizes)
+        place, group = run_groups(self.tokens, block, run)
         short = np.flatnonzero(self.sizes < run)
-        keys = np.concatenate(
-            [self._keys(place, np.full(len(place), run)), self._keys(self.starts[short], self.sizes[short])]
-        )
         self.places = np.concatenate([place, self.starts[short]])
         self.lengths = np.concatenate([np.full(len(place), run), self.sizes[short]])
-        self.keys = keys
-        self.run_page = page[self.block[self.places]] if len(self.places) else self.places
         # equal runs have equal keys: the suffix array's groups, then the short blocks by key
-        lone = np.unique(keys[len(place) :], axis=0, return_inverse=True)[1].ravel()
+        keys = self._keys(self.starts[short], self.sizes[short])
+        lone = np.unique(keys, axis=0, return_inverse=True)[1].ravel()
         base = group.max() + 1 if len(group) else 0
-        self.group = np.concatenate([group, lone + base]).astype(np.int64)
+        group = np.concatenate([group, lone + base]).astype(np.int64)
+        self.group = np.unique(group, return_inverse=True)[1].ravel()
+        run_page = self.of_page[block[self.places]] if len(self.places) else self.places
+        _, self._at, self._counts = group_pages(self.group, run_page)
 
     def _keys(self, places: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         out = np.zeros((len(places), 2), np.uint64)
@@ -321,23 +336,84 @@ class Stream:
                 out[some, 1] += (token ^ (token >> np.uint64(29))) * power
         return out.view(np.int64)
 
-    def counts(self) -> tuple[np.ndarray, np.ndarray]:
-        """Each distinct run's keys and the number of pages here that hold it."""
-        _, at, counts = group_pages(self.group, self.run_page)
-        return self.keys[at], counts
-
-    def unique(self, shared: set[tuple[int, int]], covered: float) -> list[list[str]]:
-        """Each page's blocks that are not covered by ``shared`` runs."""
-        out: list[list[str]] = [[] for _ in range(1 + max((i for i, _ in self.blocks), default=-1))]
-        hit = np.fromiter((tuple(k) in shared for k in self.keys.tolist()), bool, len(self.keys))
-        gone = covered_by(self.places[hit], self.lengths[hit], len(self.tokens))
-        sums = np.add.reduceat(gone, self.starts, dtype=np.int64) if len(self.starts) else self.starts
-        for (i, text), n, size in zip(self.blocks, sums.tolist(), self.sizes.tolist()):
-            if n < covered * size:
-                out[i].append(text)
+    def counts(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """The keys of each distinct run that ``least`` pages here hold, and their number."""
+        some = self._counts >= least
+        at = self._at[some]
+        return self._keys(self.places[at], self.lengths[at]), self._counts[some]
+
+    def _among(self, wanted: set[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the distinct runs are wanted, and the keys of those."""
+        keys = self._keys(self.places[self._at], self.lengths[self._at])
+        which = np.flatnonzero(np.isin(keys[:, 0], np.array([k for k, _ in wanted], np.int64)))
+        right = [i for i, k in zip(which.tolist(), keys[which].tolist()) if tuple(k) in wanted]
+        right = np.array(right, np.int64)
+        return right, keys[right]
+
+    def counts_of(self, wanted: set[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+        """The keys of the wanted runs that are here, and the number of pages that hold each."""
+        which, keys = self._among(wanted)
+        return keys, self._counts[which]
+
+    def repeated(self, shared: set[tuple[int, int]], covered: float) -> list[list[int]]:
+        """Each page's blocks, by number, that are covered by ``shared`` runs."""
+        out: list[list[int]] = [[] for _ in range(self.pages)]
+        if not shared or not len(self.starts):
+            return out
+        hit = np.isin(self.group, self._among(shared)[0])
+        inside = covered_by(self.places[hit], self.lengths[hit], len(self.tokens))
+        sums = np.add.reduceat(inside, self.starts, dtype=np.int64)
+        first = np.searchsorted(self.of_page, np.arange(self.pages))
+        for i in np.flatnonzero(sums >= covered * self.sizes).tolist():
+            page = int(self.of_page[i])
+            out[page].append(i - int(first[page]))
         return out
 
 
+def _once(batches):
+    """Copies that follow each other in a task are sent once: a few rows for a host's copies."""
+    seen: set = set()
+    for batch in batches:
+        keys = zip(*(batch.column(c).to_pylist() for c in ("host", "inside", "content")))
+        new = []
+        for key in keys:
+            new.append(key not in seen)
+            seen.add(key)
+        if len(seen) > SEEN:
+            seen.clear()
+        yield batch.filter(pa.array(new, pa.bool_()))
+
+
+def _distinct(table: pa.Table) -> pa.Table:
+    """One row for each content."""
+    first = dict(zip(reversed(table.column("content").to_pylist()), range(len(table) - 1, -1, -1)))
+    return table.take(sorted(first.values())) if len(first) < len(table) else table
+
+
+def _run_table(key: tuple[pa.Scalar, ...], keys: np.ndarray, counts: np.ndarray) -> pa.Table:
+    host, inside, part = (k.as_py() for k in key)
+    n = len(keys)
+    return pa.table(
+        {
+            "host": pa.array([host] * n, pa.string()),
+            "inside": pa.array([inside] * n, pa.bool_()),
+            "part": pa.array([part] * n, pa.int64()),
+            "k1": pa.array(np.ascontiguousarray(keys[:, 0])),
+            "k2": pa.array(np.ascontiguousarray(keys[:, 1])),
+            "pages": pa.array(counts, pa.int64()),
+        }
+    )
+
+
+def _pairs(table: pa.Table) -> set[tuple[int, int]]:
+    return set(zip(table.column("k1").to_pylist(), table.column("k2").to_pylist()))
+
+
+def _digest(texts: list[str]) -> bytes:
+    """Of the blocks, in which no line break occurs."""
+    return hashlib.blake2b("\n".join(texts).encode("utf-8", "replace"), digest_size=16).digest()
+
+
 def extract(
     pages: DataFrame,
     run: int = RUN,
@@ -346,14 +422,15 @@ def extract(
     share: float = SHARE,
     covered: float = COVERED,
 ) -> DataFrame:
-    """Per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars, in_article.
+    """Per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars, in_article, n_repeated.
 
     ``text`` holds the blocks of the article in page order, joined by an empty line, with
     character references decoded and white space inside a block made one space. If no element
     names the article, it holds the page's doubtful blocks that are not boilerplate of its host:
     those with less than ``covered`` of their tokens in runs that at least ``least`` pages of the
     host and ``share`` of them have, pages with equal doubtful blocks counted once. A block
-    of fewer than ``run`` tokens is one run.
+    of fewer than ``run`` tokens is one run. ``n_repeated`` is the number of blocks that repeat by
+    that measure, an article's among the host's articles: those of an article stay, others go.
 
     The text is empty if nothing is left, as for a null or empty html. Pages without a host are
     compared with each other. Repeated rows each give a row. ``part_pages`` changes no result.
@@ -364,97 +441,154 @@ def extract(
 
     def parse(batches):
         for batch in batches:
-            hosts, texts, doubtful = [], [], []
+            hosts, article, doubtful = [], [], []
             for url, page in zip(batch.column(1).to_pylist(), batch.column(2)):
                 found = blocks(page.as_py() or "")
-                main = [t for inside, t in found if inside]
                 hosts.append(host_of(url))
-                texts.append("\n\n".join(main) if main else None)
+                article.append([t for inside, t in found if inside])
                 doubtful.append([t for inside, t in found if not inside])
+            digests = [
+                pa.array([_digest(texts) for texts in side], pa.binary())
+                for side in (article, doubtful)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     pa.array(hosts, pa.string()),
-                    pa.array(texts, pa.string()),
+                    pa.array(article, pa.list_(pa.string())),
                     pa.array(doubtful, pa.list_(pa.string())),
+                    *digests,
                 ],
-                ["page_id", "url", "host", "text", "doubtful"],
+                ["page_id", "url", "host", "article", "doubtful", "article_is", "doubtful_is"],
             )
 
     parsed = rows.mapInArrow(
         parse,
-        f"page_id {kind}, url string, host string, text string, doubtful array<string>",
+        f"page_id {kind}, url string, host string, article array<string>, "
+        "doubtful array<string>, article_is binary, doubtful_is binary",
+    )
+    parsed = pin(parsed, "parsed")
+
+    # doubtful blocks beside articles show the host's boilerplate, if a page names no article
+    hosts = parsed.where("size(article) = 0 AND size(doubtful) > 0").select("host").distinct()
+
+    def side(name: str, inside: bool) -> DataFrame:
+        return parsed.where(F.size(name) > 0).select(
+            "host",
+            F.lit(inside).alias("inside"),
+            F.col(f"{name}_is").alias("content"),
+            F.col(name).alias("blocks"),
+        )
+
+    contents = side("article", True).unionByName(
+        side("doubtful", False).join(hosts, "host", "left_semi")
     )
-    content = F.sha2(F.to_json("doubtful"), 256).alias("content")
-    parsed = pin(parsed.select("*", content), "parsed")
-    certain = parsed.where("text IS NOT NULL").select("page_id", "url", "text")
-    wanted = parsed.where("text IS NULL")
-
-    # articles are not doubted, but what stands around them shows the host's boilerplate
-    hosts = wanted.select("host").distinct()
-    contents = (
-        parsed.where("size(doubtful) > 0")
-        .join(hosts, "host", "left_semi")
-        .groupBy("host", "content")
-        .agg(F.any_value("doubtful").alias("doubtful"))
+    chars = F.aggregate("blocks", F.lit(0).cast("long"), lambda n, b: n + F.char_length(b))
+    sizes = (
+        contents.select("host", "inside", "content", chars.alias("chars"))
+        .distinct()
+        .groupBy("host", "inside")
+        .agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
+        .select(
+            "host",
+            "inside",
+            F.ceil(F.greatest(F.col("n") / part_pages, F.col("chars") / PART_CHARS)).alias("parts"),
+            F.greatest(F.lit(least), F.ceil(F.col("n") * share)).cast("long").alias("needed"),
+            "n",
+        )
     )
-    contents = pin(contents, "contents")
-    sizes = contents.groupBy("host").agg(
-        F.ceil(F.count("*") / part_pages).alias("parts"),
-        F.greatest(F.lit(least), F.ceil(F.count("*") * share)).alias("needed"),
+    sizes = pin(sizes, "sizes")
+    dealt = (
+        contents.mapInArrow(_once, contents.schema)
+        .join(sizes, ["host", "inside"])
+        .withColumn("part", F.pmod(F.xxhash64("content"), "parts"))
     )
-    dealt = contents.join(sizes.drop("needed"), "host").select(
-        "host", F.pmod(F.xxhash64("content"), "parts").alias("part"), "content", "doubtful"
+    place = ["host", "inside", "part"]
+    run_schema = "host string, inside boolean, part bigint, k1 bigint, k2 bigint, pages bigint"
+
+    def name(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = _distinct(table)
+        needed, n = table.column("needed")[0].as_py(), table.column("n")[0].as_py()
+        # of ``needed`` pages of ``n``, so many at least are here if no part has a greater share
+        here = needed if table.column("parts")[0].as_py() == 1 else -(-needed * len(table) // n)
+        found = Stream(table.column("blocks").to_pylist(), run).counts(here)
+        return _run_table(key, *found)
+
+    wide = ["content", "blocks", "parts", "needed", "n"]
+    named = pin(dealt.select(*place, *wide).groupBy(*place).applyInArrow(name, run_schema), "named")
+
+    # what a part of several has named is counted in all of them
+    split = sizes.where("parts > 1").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    asked = (
+        named.select("host", "inside", "k1", "k2")
+        .distinct()
+        .join(split.select(*place), ["host", "inside"])
     )
 
-    def count(table: pa.Table) -> pa.Table:
-        stream = Stream(table.column("doubtful").to_pylist(), run)
-        keys, counts = stream.counts()
-        n = len(keys)
-        return pa.table(
-            {
-                "host": pa.array([table.column("host")[0].as_py()] * n, pa.string()),
-                "part": pa.array([table.column("part")[0].as_py()] * n, pa.int64()),
-                "k1": pa.array(np.ascontiguousarray(keys[:, 0])),
-                "k2": pa.array(np.ascontiguousarray(keys[:, 1])),
-                "pages": pa.array(counts, pa.int64()),
-            }
-        )
-
-    runs = dealt.groupBy("host", "part").applyInArrow(
-        count, "host string, part bigint, k1 bigint, k2 bigint, pages bigint"
+    def count(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        wanted = _pairs(right)
+        texts = _distinct(left).column("blocks").to_pylist() if wanted else []
+        return _run_table(key, *Stream(texts, run).counts_of(wanted))
+
+    counted = (
+        dealt.where("parts > 1")
+        .select(*place, "content", "blocks")
+        .groupBy(*place)
+        .cogroup(asked.groupBy(*place))
+        .applyInArrow(count, run_schema)
     )
-    runs = pin(runs, "runs")
-    totals = runs.groupBy("host", "k1", "k2").agg(F.sum("pages").alias("pages"))
-    shared = totals.join(sizes, "host").where("pages >= needed").select("host", "k1", "k2")
-    known = runs.join(shared, ["host", "k1", "k2"], "left_semi").select("host", "part", "k1", "k2")
-
-    def keep(left: pa.Table, right: pa.Table) -> pa.Table:
-        given = set(zip(right.column("k1").to_pylist(), right.column("k2").to_pylist()))
-        texts = left.column("doubtful").to_pylist()
-        found = Stream(texts, run).unique(given, covered)
-        found += [[]] * (len(texts) - len(found))
-        return pa.table(
+    whole = named.join(sizes.where("parts = 1").select("host", "inside"), ["host", "inside"], "left_semi")
+    totals = (
+        pin(whole.unionByName(counted), "counted")
+        .groupBy("host", "inside", "k1", "k2")
+        .agg(F.sum("pages").alias("pages"))
+        .join(sizes, ["host", "inside"])
+        .where("pages >= needed")
+    )
+    shared = pin(totals.select("host", "inside", "parts", "k1", "k2"), "shared")
+    known = shared.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+
+    def mark(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        left, wanted = _distinct(left), _pairs(right)
+        found = [[]] * len(left)
+        if wanted:
+            found = Stream(left.column("blocks").to_pylist(), run).repeated(wanted, covered)
+        table = pa.table(
             {
                 "host": left.column("host"),
+                "inside": left.column("inside"),
                 "content": left.column("content"),
-                "text": pa.array(["\n\n".join(t) for t in found], pa.string()),
+                "repeated": pa.array(found, pa.list_(pa.int32())),
             }
         )
+        return table.filter(pa.array([bool(f) for f in found], pa.bool_()))
 
-    unique = (
-        dealt.groupBy("host", "part")
-        .cogroup(known.groupBy("host", "part"))
-        .applyInArrow(keep, "host string, content string, text string")
-    )
-    rest = wanted.select("page_id", "url", "host", "content")
-    rest = rest.join(unique, ["host", "content"], "left").select(
-        "page_id", "url", F.coalesce("text", F.lit("")).alias("text")
+    marked = (
+        dealt.select(*place, "content", "blocks")
+        .groupBy(*place)
+        .cogroup(known.select(*place, "k1", "k2").groupBy(*place))
+        .applyInArrow(mark, "host string, inside boolean, content binary, repeated array<int>")
     )
-    both = certain.withColumn("in_article", F.lit(True)).unionByName(
-        rest.withColumn("in_article", F.lit(False))
+    marked = pin(marked, "marked")
+    in_article = F.size("article") > 0
+    own = parsed.select(
+        "page_id",
+        "url",
+        "host",
+        in_article.alias("inside"),
+        F.when(in_article, F.col("article_is")).otherwise(F.col("doubtful_is")).alias("content"),
+        F.when(in_article, F.col("article")).otherwise(F.col("doubtful")).alias("blocks"),
     )
-    return both.select(
-        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "in_article"
+    none = F.array().cast("array<int>")
+    repeated = F.coalesce("repeated", none)
+    # checked last: the article's markup vouches for its blocks, also for those that repeat
+    unique = F.filter("blocks", lambda b, i: F.col("inside") | ~F.array_contains(repeated, i))
+    return own.join(marked, ["host", "inside", "content"], "left").select(
+        "page_id",
+        "url",
+        F.array_join(unique, "\n\n").alias("text"),
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.col("inside").alias("in_article"),
+        F.size(repeated).cast("long").alias("n_repeated"),
     )

@@ -149,6 +149,32 @@ def test_boilerplate_of_hosts_against_brute_force(spark):
         assert {r.page_id: r.text for r in found} == want
 
 
+def test_articles_pass_the_suffix_arrays_too(spark):
+    rnd = random.Random(8)
+    rows, want = [], {}
+    for host, n in (("a", 30), ("b", 7), ("c", 2)):
+        pages = []
+        for _ in range(n):
+            pool = ["by our staff", "read this story again every day", *(" ".join(rnd.choice("pqrs") for _ in range(rnd.randint(1, 9))) for _ in range(3))]
+            pages.append([rnd.choice(pool) for _ in range(rnd.randint(1, 5))])
+        pages += pages[:5]
+        unique = _unique_blocks(pages, 4, 3, 0.1, 0.8)
+        for p, text in zip(pages, unique):
+            want[len(rows)] = ("\n\n".join(p), len(p) - len(text.split("\n\n") if text else []), True)
+            body = "".join(f"<p>{t}</p>" for t in p)
+            # the same words beside the article are no holders of its runs
+            rows.append((len(rows), f"http://{host}/{len(rows)}", f"<p>p q r s p q r</p><article>{body}</article>"))
+    assert any(0 < n for _, n, _ in want.values())
+    menu = "one two three four five"
+    for i in range(5):
+        want[len(rows)] = (f"own{i}", 1, False)
+        rows.append((len(rows), "http://a/", f"<p>{menu}</p><p>own{i}</p>"))
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for part_pages in (6, 1000):
+        found = html_text.extract(table, run=4, part_pages=part_pages, share=0.1).collect()
+        assert {r.page_id: (r.text, r.n_repeated, r.in_article) for r in found} == want
+
+
 def test_copies_and_quotations_stay(spark):
     quote = "to be or not to be that is the question whether it is nobler"
     story = [" ".join(f"word{i}x{j}" for j in range(60)) for i in range(20)]
