@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+import zlib
 from collections import Counter
 from urllib.parse import urlsplit
 
@@ -309,19 +310,9 @@ class Stream:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.tokens = np.concatenate(flat) if flat else np.empty(0, np.uint64)
         self.of_page = of_page.astype(np.int64)
-        block = np.repeat(np.arange(len(sizes)), self.sizes)
-        place, group = run_groups(self.tokens, block, run)
-        short = np.flatnonzero(self.sizes < run)
-        self.places = np.concatenate([place, self.starts[short]])
-        self.lengths = np.concatenate([np.full(len(place), run), self.sizes[short]])
-        # equal runs have equal keys: the suffix array's groups, then the short blocks by key
-        keys = self._keys(self.starts[short], self.sizes[short])
-        lone = np.unique(keys, axis=0, return_inverse=True)[1].ravel()
-        base = group.max() + 1 if len(group) else 0
-        group = np.concatenate([group, lone + base]).astype(np.int64)
-        self.group = np.unique(group, return_inverse=True)[1].ravel()
-        run_page = self.of_page[block[self.places]] if len(self.places) else self.places
-        _, self._at, self._counts = group_pages(self.group, run_page)
+        self.run = run
+        self.block = np.repeat(np.arange(len(sizes)), self.sizes)
+        self.short = np.flatnonzero(self.sizes < run)
 
     def _keys(self, places: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         out = np.zeros((len(places), 2), np.uint64)
@@ -338,30 +329,43 @@ class Stream:
 
     def counts(self, least: int) -> tuple[np.ndarray, np.ndarray]:
         """The keys of each distinct run that ``least`` pages here hold, and their number."""
-        some = self._counts >= least
-        at = self._at[some]
-        return self._keys(self.places[at], self.lengths[at]), self._counts[some]
-
-    def _among(self, wanted: set[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the distinct runs are wanted, and the keys of those."""
-        keys = self._keys(self.places[self._at], self.lengths[self._at])
-        which = np.flatnonzero(np.isin(keys[:, 0], np.array([k for k, _ in wanted], np.int64)))
-        right = [i for i, k in zip(which.tolist(), keys[which].tolist()) if tuple(k) in wanted]
-        right = np.array(right, np.int64)
-        return right, keys[right]
+        place, group = run_groups(self.tokens, self.block, self.run)
+        places = np.concatenate([place, self.starts[self.short]])
+        lengths = np.concatenate([np.full(len(place), self.run), self.sizes[self.short]])
+        # equal runs have equal keys: the suffix array's groups, then the short blocks by key
+        keys = self._keys(places[len(place) :], lengths[len(place) :])
+        lone = np.unique(keys, axis=0, return_inverse=True)[1].ravel()
+        base = group.max() + 1 if len(group) else 0
+        group = np.concatenate([group, lone + base]).astype(np.int64)
+        _, at, counts = group_pages(group, self.of_page[self.block[places]])
+        some = counts >= least
+        return self._keys(places[at[some]], lengths[at[some]]), counts[some]
+
+    def _found(self, wanted: set[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where wanted runs begin, their lengths and keys; these were named by suffix arrays."""
+        left = (self.starts + self.sizes)[self.block] - np.arange(len(self.tokens))
+        place = np.flatnonzero(left >= self.run)
+        places = np.concatenate([place, self.starts[self.short]])
+        lengths = np.concatenate([np.full(len(place), self.run), self.sizes[self.short]])
+        keys = self._keys(places, lengths)
+        near = np.flatnonzero(np.isin(keys[:, 0], np.array([k for k, _ in wanted], np.int64)))
+        right = near[[tuple(k) in wanted for k in keys[near].tolist()]] if len(near) else near
+        return places[right], lengths[right], keys[right]
 
     def counts_of(self, wanted: set[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
         """The keys of the wanted runs that are here, and the number of pages that hold each."""
-        which, keys = self._among(wanted)
-        return keys, self._counts[which]
+        places, _, keys = self._found(wanted)
+        group = np.unique(keys, axis=0, return_inverse=True)[1].ravel()
+        _, at, counts = group_pages(group, self.of_page[self.block[places]])
+        return keys[at], counts
 
     def repeated(self, shared: set[tuple[int, int]], covered: float) -> list[list[int]]:
         """Each page's blocks, by number, that are covered by ``shared`` runs."""
         out: list[list[int]] = [[] for _ in range(self.pages)]
         if not shared or not len(self.starts):
             return out
-        hit = np.isin(self.group, self._among(shared)[0])
-        inside = covered_by(self.places[hit], self.lengths[hit], len(self.tokens))
+        places, lengths, _ = self._found(shared)
+        inside = covered_by(places, lengths, len(self.tokens))
         sums = np.add.reduceat(inside, self.starts, dtype=np.int64)
         first = np.searchsorted(self.of_page, np.arange(self.pages))
         for i in np.flatnonzero(sums >= covered * self.sizes).tolist():
@@ -371,7 +375,10 @@ class Stream:
 
 
 def _once(batches):
-    """Copies that follow each other in a task are sent once: a few rows for a host's copies."""
+    """Copies that follow each other in a task are sent once: a few rows for a host's copies.
+
+    Blocks, in which no line break occurs, are sent as one deflated text.
+    """
     seen: set = set()
     for batch in batches:
         keys = zip(*(batch.column(c).to_pylist() for c in ("host", "inside", "content")))
@@ -381,7 +388,19 @@ def _once(batches):
             seen.add(key)
         if len(seen) > SEEN:
             seen.clear()
-        yield batch.filter(pa.array(new, pa.bool_()))
+        batch = batch.filter(pa.array(new, pa.bool_()))
+        packed = [
+            zlib.compress("\n".join(texts).encode("utf-8", "replace"), 1)
+            for texts in batch.column("blocks").to_pylist()
+        ]
+        keys = [batch.column(c) for c in ("host", "inside", "content")]
+        yield pa.RecordBatch.from_arrays(
+            [*keys, pa.array(packed, pa.binary())], ["host", "inside", "content", "blocks"]
+        )
+
+
+def _texts(table: pa.Table) -> list[list[str]]:
+    return [zlib.decompress(b).decode().split("\n") for b in table.column("blocks").to_pylist()]
 
 
 def _distinct(table: pa.Table) -> pa.Table:
@@ -500,7 +519,9 @@ def extract(
     )
     sizes = pin(sizes, "sizes")
     dealt = (
-        contents.mapInArrow(_once, contents.schema)
+        contents.mapInArrow(
+            _once, "host string, inside boolean, content binary, blocks binary"
+        )
         .join(sizes, ["host", "inside"])
         .withColumn("part", F.pmod(F.xxhash64("content"), "parts"))
     )
@@ -512,7 +533,7 @@ def extract(
         needed, n = table.column("needed")[0].as_py(), table.column("n")[0].as_py()
         # of ``needed`` pages of ``n``, so many at least are here if no part has a greater share
         here = needed if table.column("parts")[0].as_py() == 1 else -(-needed * len(table) // n)
-        found = Stream(table.column("blocks").to_pylist(), run).counts(here)
+        found = Stream(_texts(table), run).counts(here)
         return _run_table(key, *found)
 
     wide = ["content", "blocks", "parts", "needed", "n"]
@@ -528,7 +549,7 @@ def extract(
 
     def count(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         wanted = _pairs(right)
-        texts = _distinct(left).column("blocks").to_pylist() if wanted else []
+        texts = _texts(_distinct(left)) if wanted else []
         return _run_table(key, *Stream(texts, run).counts_of(wanted))
 
     counted = (
@@ -553,7 +574,7 @@ def extract(
         left, wanted = _distinct(left), _pairs(right)
         found = [[]] * len(left)
         if wanted:
-            found = Stream(left.column("blocks").to_pylist(), run).repeated(wanted, covered)
+            found = Stream(_texts(left), run).repeated(wanted, covered)
         table = pa.table(
             {
                 "host": left.column("host"),
