@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from auditweave.book import AuditBook
 from auditweave.functions.anchors import Anchors
+from auditweave.plans.controls import vendors
 from auditweave.sources.catalog import Sources
 from auditweave.sources.schemas import LAYOUTS, schema_of
 from auditweave.sources.shelf import CLEANUP, Shelf, pin
@@ -137,3 +138,19 @@ def test_an_order_of_several_requisitions_without_approvals_is_one_row(spark):
     rows = book.plan("approvals_matrix").collect()
     found = sorted((r.po_number, r.approvable_id or "", r.approver_1 or "", r.approver_2 or "") for r in rows)
     assert found == [("P1", "", "", ""), ("P2", "", "", ""), ("P2", "R3", "Ann", "Bob"), ("P3", "", "", "")]
+
+
+def joins(df) -> list[str]:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [" ".join([kind, *names(keys)]) for kind, keys in re.findall(r"(\w+Join) (.*?), \w+(?:,|\n)", plan)]
+
+
+def test_employees_spend_and_payments_are_dealt_not_sent_to_the_driver(spark):
+    book = open_book(spark, SF_DIR)
+    assert "SortMergeJoin bank_key emp_bank_key" in joins(vendors._employee_accounts(book))
+    found = joins(vendors.vendor_employee_same_bank(book))
+    assert {"SortMergeJoin employee_id _employee", "SortMergeJoin supplier_id supplier_id"} <= set(found)
+    for summed, how_many in ((False, 1), (True, 2)):
+        found = joins(vendors.payments_shared_bank(book, summed))
+        assert found.count("SortMergeJoin supplier_id supplier_id") == how_many
+        assert not {"BroadcastHashJoin supplier_id supplier_id", "BroadcastHashJoin employee_id _employee"} & set(found)
