@@ -24,6 +24,7 @@ from auditweave.functions.keys import erp_date
 from auditweave.plans import conformed
 from auditweave.plans.scope import COMPANY
 from auditweave.sources.facts import FactTable
+from auditweave.sources.shelf import COMPACT, shelf_of
 
 MONTH = "month"
 #: A month whose rows have been dropped counts as never read.
@@ -43,10 +44,12 @@ def month_back(day: date, months: int) -> str:
 def land_by_month(rows: DataFrame, month: Column, path: str) -> DataFrame:
     """Write ``rows`` partitioned by month; rows without one go to a month of their own.
 
-    ``rebalance`` splits a month with many rows over several tasks and files.
+    ``rebalance`` splits a month with many rows over several tasks and files; its shuffle files
+    go when the table is written.
     """
     placed = rows.withColumn(MONTH, F.coalesce(month, F.lit("none")))
-    placed.hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(path)
+    with shelf_of(rows.sparkSession).cleaning():
+        placed.hint("rebalance", MONTH).write.options(**COMPACT).partitionBy(MONTH).parquet(path)
     schema = StructType([*rows.schema.fields, *placed.schema[-1:]])
     return rows.sparkSession.read.schema(schema).parquet(path)
 
@@ -125,6 +128,22 @@ def payment_month(document_date: str = "h_document_date") -> Column:
     return month_of(F.greatest(erp_date(document_date), F.col("h_posting_date").cast("date")))
 
 
+#: What the partial results and the month of a ledger line are made of.
+PAYMENT_COLUMNS = [
+    "h_company_code",
+    "h_document_type",
+    *conformed.LINE_KEY,
+    "h_document_date",
+    "h_posting_date",
+    "d_vendor",
+    "d_gl_account",
+    "d_amount_in_lc",
+    "d_shkzg_debit_credit_ind",
+    "d_clearing",
+    "d_clrng_doc",
+]
+
+
 def _payment_partial(rows: DataFrame) -> DataFrame:
     """Distinct payment lines of each month, apart for either branch of the view.
 
@@ -210,9 +229,8 @@ def _rolled(book: AuditBook, name: str, source: DataFrame, month: Column, open_s
 
 def base_payment_rolling(book: AuditBook) -> DataFrame:
     """``base_payment`` by two monthly runs; equal to its full rebuild."""
-    return _rolled(
-        book, "payments", book.src.ledger, payment_month(), payment_state, payments_of
-    )
+    lines = book.src.ledger.select(*PAYMENT_COLUMNS)
+    return _rolled(book, "payments", lines, payment_month(), payment_state, payments_of)
 
 
 def sap_po_rolling(book: AuditBook) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from auditweave.book import AuditBook
 from auditweave.functions.anchors import Anchors
+from auditweave.plans import rolling
 from auditweave.plans.controls import vendors
 from auditweave.sources.catalog import Sources
 from auditweave.sources.schemas import LAYOUTS, schema_of
@@ -154,3 +155,22 @@ def test_employees_spend_and_payments_are_dealt_not_sent_to_the_driver(spark):
         found = joins(vendors.payments_shared_bank(book, summed))
         assert found.count("SortMergeJoin supplier_id supplier_id") == how_many
         assert not {"BroadcastHashJoin supplier_id supplier_id", "BroadcastHashJoin employee_id _employee"} & set(found)
+
+
+def test_the_ledger_by_month_has_all_lines_but_only_columns_that_are_read(spark, monkeypatch):
+    landed = []
+
+    def noting(rows, month, path):
+        before = spark.conf.get(CLEANUP, None)
+        landed.append(land(rows, month, path))
+        assert spark.conf.get(CLEANUP, None) == before
+        return landed[0]
+
+    land = rolling.land_by_month
+    monkeypatch.setattr(rolling, "land_by_month", noting)
+    book = open_book(spark, SF_DIR)
+    rolling.base_payment_rolling(AuditBook(book.src, book.anchors))
+    assert set(landed[0].columns) == {*rolling.PAYMENT_COLUMNS, rolling.MONTH}
+    assert landed[0].count() == book.src.ledger.count()
+    assert "h_docheader_text" in book.src.ledger.columns
+    assert all(".zstd." in f for f in landed[0].inputFiles())
