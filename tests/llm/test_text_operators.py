@@ -324,6 +324,43 @@ def test_model_beats_counts_where_order_matters(spark):
     assert sum(r.score for r in found) > 0.7 * sum(r.base_score for r in found)
 
 
+def test_model_is_trained_until_the_held_out_loss_stops_falling(spark, monkeypatch):
+    rnd = random.Random(8)
+    rows = []
+    for i in range(400):
+        start = rnd.randint(0, 9)
+        rows.append((i, " ".join(f"w{(start + k) % 10}x{(start + k) % 10}" for k in range(20))))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    losses, sizes = [], []
+
+    def noting(codes, model):
+        losses.append(loss(codes, model))
+        sizes.append(len(model.value[0]))
+        return losses[-1]
+
+    loss = language_model._loss
+    monkeypatch.setattr(language_model, "_loss", noting)
+    found = language_model.score_texts(docs).collect()
+    falls = [after < (1 - language_model.FALL) * before for before, after in zip(losses, losses[1:])]
+    assert len(falls) > 1 and all(falls[:-1]) and not falls[-1]
+    # nothing held out: the loss of all texts is watched; nothing else: there is nothing to learn
+    for remainder in (9, 0):
+        odd = language_model.score_texts(docs, modulus=1, held_out=remainder).collect()
+        assert len(odd) == len(found) and all(r.held_out == (remainder == 0) for r in odd)
+    # as many more features are told apart as the root of the tokens tells
+    assert set(sizes) == {language_model.LEAST_BUCKETS}
+    assert [language_model._buckets(10**n) >> 14 for n in (0, 4, 6, 8, 10)] == [1, 1, 1, 8, 64]
+
+
+def test_features_that_share_a_small_table_are_apart_in_a_larger_one():
+    hashes = np.array([zlib.crc32(b"%d" % i) for i in range(200_000)], np.uint32)
+    starts = np.array([0])
+    small, large = (language_model._features(hashes, starts, 1 << k) for k in (14, 20))
+    for few, many in zip(small, large):
+        assert few.max() < 1 << 14 and len(np.unique(few)) > 16_000
+        assert many.max() < 1 << 20 and len(np.unique(many)) > 165_000
+
+
 @pytest.mark.parametrize("around", [15, 3000])
 def test_licences_inside_longer_lines(spark, around):
     rnd = random.Random(around)
