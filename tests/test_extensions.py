@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import subprocess
 import sys
+import threading
 from datetime import date, timedelta
 from decimal import Decimal
 from pathlib import Path
@@ -202,6 +203,23 @@ def _ledger(rnd, n):
     return rows
 
 
+def test_shared_tables_are_written_several_at_a_time(spark, tmp_path):
+    book = book_of(spark)
+    meeting, come = threading.Barrier(2), []
+    table = book.table
+
+    def noting(name):
+        if name in SHARED[:2] and name not in come:
+            come.append(name)
+            meeting.wait(timeout=30)
+        return table(name)
+
+    book.table = noting
+    facts = findings.refresh_hits(spark, book, str(tmp_path / "hits"), ["vendors_no_bank"])
+    assert facts.rows().count() == 0 and facts.refreshed().count() == 1
+    assert set(come) == set(SHARED[:2]) and set(SHARED) <= set(book._kept)
+
+
 def _same(left, right):
     columns = sorted(left.columns)
     assert columns == sorted(right.columns)
